@@ -135,9 +135,9 @@ def with_position(
     if not key:
         total = df.count()
         if total <= series_row_limit(df.sparkSession):
-            return df.withColumns({position: at, size: F.lit(total)})
+            return df.withColumns({position: at, size: F.lit(total).cast("bigint")})
         numbered = number_rows(df, order, position)
-        return numbered.withColumns({position: F.col(position) + 1, size: F.lit(total)})
+        return numbered.withColumns({position: F.col(position) + 1, size: F.lit(total).cast("bigint")})
     longer = long_series(df, key)
     count = F.count(F.lit(1)).over(Window.partitionBy(*key))
     if longer is None:
