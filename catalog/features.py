@@ -39,19 +39,20 @@ from lagline.plans.features import (
 from lagline.plans.forecasting import future_times, history_arrays
 
 CALENDAR = ["hour", "dow", "month"]
+DAILY_NUMBERS = ["value", "roll_7", "target", *(f"lag_{n}" for n in DAILY_LAGS)]
 
 
 def _lags(lags, over="w"):
     return ",\n         ".join(f"lag(value, {n}) OVER {over} AS lag_{n}" for n in lags)
 
 
-def _roll(n, key="pollutant"):
+def _roll(n, key="pollutant", places=6):
     frame = (
         f"(PARTITION BY {key} ORDER BY datetime ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     )
     return (
         f"CASE WHEN count(value) OVER {frame} = {n} "
-        f"THEN round(avg(value) OVER {frame}, 6) END AS roll_{n}"
+        f"THEN round(avg(value) OVER {frame}, {places}) END AS roll_{n}"
     )
 
 
@@ -74,9 +75,11 @@ def _hourly_sql(source, extra="", key="pollutant", drop=()):
 
 
 @query(f"""WITH {DAILY}
-  SELECT * FROM (
+  SELECT pollutant, datetime, dow, month, {", ".join(
+      f"round({c}, 9) AS {c}" for c in DAILY_NUMBERS)}
+  FROM (
     SELECT pollutant, datetime, value, {_lags(DAILY_LAGS)},
-         {_roll(7)},
+         {_roll(7, places=9)},
          CAST(isodow(datetime) - 1 AS BIGINT) AS dow,
          CAST(month(datetime) AS BIGINT) AS month,
          lead(value) OVER w AS target
@@ -84,7 +87,7 @@ def _hourly_sql(source, extra="", key="pollutant", drop=()):
   WHERE lag_14 IS NOT NULL AND roll_7 IS NOT NULL AND target IS NOT NULL""")
 def daily_features(spark, folder):
     built = build_daily(daily(spark, folder), key=["pollutant"])
-    return rounded(as_bigint(built.frame, CALENDAR[1:]), ["roll_7"])
+    return rounded(as_bigint(built.frame, CALENDAR[1:]), DAILY_NUMBERS, 9)
 
 
 @query(f"WITH {READINGS} {_hourly_sql('readings')}")

@@ -84,10 +84,13 @@ def _labelled(spark, folder):
     return recent_split(_pairs(spark, folder), ORDER, KEY)
 
 
-@query(f"WITH {DAILY_PAIRS} SELECT pollutant, datetime, value, forecast FROM pairs")
+@query(f"""WITH {DAILY_PAIRS}
+  SELECT pollutant, datetime, round(value, 9) AS value, round(forecast, 9) AS forecast
+  FROM pairs""")
 def align_truth(spark, folder):
     truth = daily(spark, folder)
-    return align(truth, naive_forecast(truth).drop("value"), KEY)
+    pairs = align(truth, naive_forecast(truth).drop("value"), KEY)
+    return rounded(pairs, ["value", "forecast"], 9)
 
 
 @query(f"""WITH {READING_PAIRS}
@@ -253,11 +256,11 @@ def dataset_drift(spark, folder):
            abs(quantile_cont(value, 0.5) FILTER (slice = 'current')
              - quantile_cont(value, 0.5) FILTER (slice = 'reference')) AS drift_score
     FROM labelled GROUP BY 1)
-  SELECT pollutant, n_points, round(mae, 6) AS mae, round(rmse, 6) AS rmse,
-         round(drift_score, 6) AS drift_score, dataset_drift,
+  SELECT pollutant, n_points, round(mae, 9) AS mae, round(rmse, 9) AS rmse,
+         round(drift_score, 9) AS drift_score, dataset_drift,
          mae > 15 OR drift_score > 10 OR dataset_drift AS alert
   FROM errors JOIN flags USING (pollutant)""")
 def alert(spark, folder):
     truth = daily(spark, folder)
     report = monitor(truth, naive_forecast(truth).drop("value"), KEY)
-    return rounded(report.summary, ["mae", "rmse", "drift_score"])
+    return rounded(report.summary, ["mae", "rmse", "drift_score"], 9)

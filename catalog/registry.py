@@ -72,13 +72,12 @@ HOURLY = """hourly AS (
 def daily(spark: SparkSession, folder: str) -> DataFrame:
     """Readings averaged per pollutant and day."""
     day = F.col("datetime").cast("date").cast("timestamp_ntz").alias("datetime")
-    mean = F.round(F.avg("value"), 6).alias("value")
-    return readings(spark, folder).groupBy("pollutant", day).agg(mean)
+    return readings(spark, folder).groupBy("pollutant", day).agg(F.avg("value").alias("value"))
 
 
 DAILY = """daily AS (
   SELECT event_type AS pollutant, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS datetime,
-         round(avg(value), 6) AS value
+         avg(value) AS value
   FROM events GROUP BY 1, 2)"""
 
 

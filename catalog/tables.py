@@ -83,10 +83,11 @@ def daily_load(spark, folder):
     )
 
 
-@query(f"WITH {DAILY} SELECT pollutant, datetime, value FROM daily")
+@query(f"WITH {DAILY} SELECT pollutant, datetime, round(value, 9) AS value FROM daily")
 def truth_source(spark, folder):
     named = daily(spark, folder).withColumnsRenamed({"datetime": "date", "value": "iqa"})
-    return load_truth(named.withColumn("note", F.lit(None).cast("string")), ["pollutant"])
+    truth = load_truth(named.withColumn("note", F.lit(None).cast("string")), ["pollutant"])
+    return rounded(truth, ["value"], 9)
 
 
 @query(f"""WITH {HOURLY}

@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from lagline.functions.clean import present
 from lagline.operators.series import (
+    attach_by_key,
     exact_quantiles,
+    long_series,
     match_keys,
     over_series,
     running_totals,
 )
+from lagline.session import settle
 
 # Our own settings: the drift test and its limits are parameters with these defaults.
 KS_P_VALUE = 0.05
@@ -44,16 +48,14 @@ def error_histogram(
     errors = labelled.select(
         *key, "slice", (F.col("forecast") - F.col("value")).alias("__error")
     )
-    # The counts of distinct errors carry all the histogram needs.
-    counted = errors.groupBy(*key, "slice", "__error").agg(F.count(F.lit(1)).alias("__n"))
     spans = errors.groupBy(*key).agg(
         F.min("__error").alias("__low"), F.max("__error").alias("__high")
     )
     if key:
-        placed = match_keys(counted, spans, key, "inner")
+        placed = attach_by_key(errors, spans, key)
     else:
         low, high = spans.first()
-        placed = counted.withColumns({"__low": F.lit(low), "__high": F.lit(high)})
+        placed = errors.withColumns({"__low": F.lit(low), "__high": F.lit(high)})
     width = (F.col("__high") - F.col("__low")) / bins
     step = F.when(width > 0, F.floor((F.col("__error") - F.col("__low")) / width))
     bin_no = F.least(F.coalesce(step, F.lit(0)), F.lit(bins - 1))
@@ -66,7 +68,7 @@ def error_histogram(
             }
         )
         .groupBy(*key, "slice", "bin", "bin_low", "bin_high")
-        .agg(F.sum("__n").alias("n_points"))
+        .agg(F.count(F.lit(1)).alias("n_points"))
     )
 
 
@@ -77,7 +79,7 @@ def largest_errors(
     group = [*key, "slice"]
     rows = labelled.withColumn("__error", F.col("forecast") - F.col("value"))
     cuts = exact_quantiles(rows, group, "__error", [share, 1 - share], "__cuts")
-    cut = match_keys(rows, cuts, group, "inner")
+    cut = attach_by_key(rows, cuts, group)
     part = (
         F.when(F.col("__error") <= F.get("__cuts", F.lit(0)), "underestimated")
         .when(F.col("__error") >= F.get("__cuts", F.lit(1)), "overestimated")
@@ -126,8 +128,8 @@ def column_distances(
     def rows_in(label: str) -> Column:
         return F.count(F.when(F.col("slice") == label, True))
 
-    counted = (
-        cells.na.drop(subset=["__x"])
+    counted = settle(  # read four times below
+        present(cells, ["__x"])
         .groupBy(*group, "__x")
         .agg(rows_in("reference").alias("__r"), rows_in("current").alias("__c"))
     )
@@ -141,14 +143,15 @@ def column_distances(
     def gap_to_next(rows: DataFrame, window: WindowSpec) -> DataFrame:
         return rows.withColumn("__gap", F.lead("__x", 1).over(window) - F.col("__x"))
 
-    through = running_totals(counted, group, ["__x"], {"__fr": "__r", "__fc": "__c"})
-    through = over_series(through, group, ["__x"], gap_to_next, ahead=1)
+    longer = long_series(counted, group)
+    through = running_totals(counted, group, ["__x"], {"__fr": "__r", "__fc": "__c"}, longer)
+    through = over_series(through, group, ["__x"], gap_to_next, ahead=1, longer=longer)
     apart = F.abs(
         F.try_divide(F.col("__fr"), F.col("n_reference"))
         - F.try_divide(F.col("__fc"), F.col("n_current"))
     )
     distances = (
-        match_keys(through, sizes, group, "inner")
+        attach_by_key(through, sizes, group)
         .groupBy(*group, "n_reference", "n_current")
         .agg(
             F.max(apart).alias("ks_distance"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from lagline.functions.clean import with_times
+from lagline.functions.clean import present, with_times
 
 
 def attach_weather(readings: DataFrame, weather: DataFrame | None) -> DataFrame:
@@ -33,4 +33,4 @@ def align(truth: DataFrame, forecasts: DataFrame, key: Sequence[str] = ()) -> Da
     """Observed and forecast values of the same series and time."""
     on = [*key, "datetime"]
     pairs = truth.select(*on, "value").join(forecasts.select(*on, "forecast"), on, "inner")
-    return pairs.na.drop(subset=["value", "forecast"])
+    return present(pairs, ["value", "forecast"])

@@ -13,10 +13,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lagline.functions.clean import present
 from lagline.session import series_row_limit, settle
 
 Compute = Callable[[DataFrame, WindowSpec], DataFrame]
 
+# Most rows of a per-key table that is sent to every executor.
+BROADCAST_ROWS = 100_000
+
+# "Not looked up yet", where None means that no series is long.
+UNKNOWN = object()
+
 
 def series_window(key: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*key).orderBy(*order)
@@ -42,6 +49,21 @@ def match_keys(left: DataFrame, right: DataFrame, key: Sequence[str], how: str)
     return left.join(other, same, how).drop(*[f"__r_{k}" for k in key])
 
 
+def attach_by_key(
+    rows: DataFrame, per_key: DataFrame, key: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Add the columns of a one-row-per-key table, computed once, to every row."""
+    return match_keys(rows, broadcast_if_short(settle(per_key)), key, how)
+
+
+def broadcast_if_short(table: DataFrame) -> DataFrame:
+    """Mark a counted, short table for broadcast, so its join does not shuffle the rows.
+
+    A longer one is joined by shuffle, where Spark splits hot keys.
+    """
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Zero-based position of every row in the total order, without a single-task sort.
 
@@ -76,14 +98,17 @@ def over_series(
     compute: Compute,
     back: int = 0,
     ahead: int = 0,
+    longer: DataFrame | None | object = UNKNOWN,
 ) -> DataFrame:
     """Apply window columns that look at most ``back`` rows back and ``ahead`` rows on.
 
     A long series is cut into segments by row position. Each segment also receives the
     ``back`` rows before it and the ``ahead`` rows after it; those copies serve as
-    neighbours only and are removed afterwards.
+    neighbours only and are removed afterwards. ``longer`` is the result of
+    :func:`long_series` if the caller has it already.
     """
-    longer = long_series(df, key)
+    if longer is UNKNOWN:
+        longer = long_series(df, key)
     if longer is None:
         return compute(df, series_window(key, order))
     if not key:
@@ -147,14 +172,18 @@ def with_position(
     spans = rows.groupBy(*key).agg(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias(size)
     )
-    split = match_keys(rows, spans, key, "inner").withColumn(
+    split = attach_by_key(rows, spans, key).withColumn(
         position, F.col("__row") - F.col("__first") + 1
     )
     return short.unionByName(split.drop("__row", "__first"))
 
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], totals: dict[str, str]
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    totals: dict[str, str],
+    longer: DataFrame | None | object = UNKNOWN,
 ) -> DataFrame:
     """Running sums (``{new name: column}``) up to and including each row of its group."""
 
@@ -162,7 +191,9 @@ def running_totals(
         upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.withColumns({n: F.sum(c).over(upto) for n, c in totals.items()})
 
-    if long_series(df, group) is None:
+    if longer is UNKNOWN:
+        longer = long_series(df, group)
+    if longer is None:
         return add(df, series_window(group, order))
     # Sum inside range partitions, then add what the earlier partitions hold.
     rows = settle(
@@ -185,7 +216,7 @@ def running_totals(
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs in each group."""
-    rows = df.select(*group, value).na.drop(subset=[value])
+    rows = present(df.select(*group, value), [value])
     return rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -201,7 +232,7 @@ def exact_quantiles(
     Groups that fit in one task use the built-in aggregate, which holds a group's
     distinct values in memory; larger ones go through :func:`quantiles_of_counts`.
     """
-    rows = df.select(*group, value).na.drop(subset=[value])
+    rows = present(df.select(*group, value), [value])
     if long_series(rows, group) is None:
         return rows.groupBy(*group).agg(
             F.percentile(value, F.array(*map(F.lit, probabilities))).alias(name)
@@ -221,15 +252,16 @@ def quantiles_of_counts(
     Groups with many distinct values look up the values at the wanted ranks in running
     counts instead of gathering the group.
     """
-    if long_series(counts, group) is None:
+    longer = long_series(counts, group)
+    if longer is None:
         wanted = F.array(*map(F.lit, probabilities))
         return counts.groupBy(*group).agg(
             F.percentile(value, wanted, F.col("n_rows")).alias(name)
         )
-    through = running_totals(counts, group, [value], {"__through": "n_rows"})
+    through = running_totals(counts, group, [value], {"__through": "n_rows"}, longer)
     sizes = counts.groupBy(*group).agg(F.sum("n_rows").alias("__size"))
     if group:
-        ranked = match_keys(through, sizes, group, "inner")
+        ranked = attach_by_key(through, sizes, group)
     else:
         ranked = through.withColumn("__size", F.lit(sizes.first()[0]))
 

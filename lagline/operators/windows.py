@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import epoch_micros
-from lagline.operators.series import over_series, quantiles_of_counts, value_counts
+from lagline.operators.series import (
+    UNKNOWN,
+    over_series,
+    quantiles_of_counts,
+    value_counts,
+)
 from lagline.session import settle
 
 DAY_SECONDS = 86_400
@@ -28,6 +33,7 @@ def window_features(
     lags: Sequence[int] = (),
     rolls: Sequence[int] = (),
     target: str | None = None,
+    longer: DataFrame | None | object = UNKNOWN,
 ) -> DataFrame:
     """``lag_n``, ``roll_n`` and the next value, all from one shuffle and one sort."""
 
@@ -39,31 +45,45 @@ def window_features(
         return rows.withColumns(columns)
 
     back = max([0, *lags, *rolls])
-    return over_series(df, key, order, add, back=back, ahead=1 if target else 0)
+    return over_series(df, key, order, add, back, 1 if target else 0, longer)
 
 
-def time_gaps(df: DataFrame, key: Sequence[str], time: str = "datetime") -> DataFrame:
-    """Seconds between neighbouring rows of the same series."""
+def time_gaps(
+    df: DataFrame,
+    key: Sequence[str],
+    time: str = "datetime",
+    longer: DataFrame | None | object = UNKNOWN,
+) -> DataFrame:
+    """Seconds since the row before in the same series; null for its first row."""
 
     def add(rows: DataFrame, window: WindowSpec) -> DataFrame:
         micros = F.col("__micros") - F.lag("__micros", 1).over(window)
         return rows.withColumn("gap_seconds", micros / 1_000_000)
 
     rows = df.select(*key, epoch_micros(F.col(time)).alias("__micros"))
-    gaps = over_series(rows, key, ["__micros"], add, back=1)
-    return gaps.na.drop(subset=["gap_seconds"]).drop("__micros")
+    return over_series(rows, key, ["__micros"], add, back=1, longer=longer).drop("__micros")
 
 
-def median_gap(df: DataFrame, key: Sequence[str], time: str = "datetime") -> DataFrame:
+def median_gap(
+    df: DataFrame,
+    key: Sequence[str],
+    time: str = "datetime",
+    longer: DataFrame | None | object = UNKNOWN,
+) -> DataFrame:
     """One row: the median gap in seconds over all series."""
-    gaps = settle(value_counts(time_gaps(df, key, time), [], "gap_seconds"))
+    gaps = settle(value_counts(time_gaps(df, key, time, longer), [], "gap_seconds"))
     median = quantiles_of_counts(gaps, [], "gap_seconds", [0.5])
     return median.select(F.get("quantiles", F.lit(0)).alias("median_gap_seconds"))
 
 
-def is_daily(df: DataFrame, key: Sequence[str], time: str = "datetime") -> bool:
+def is_daily(
+    df: DataFrame,
+    key: Sequence[str],
+    time: str = "datetime",
+    longer: DataFrame | None | object = UNKNOWN,
+) -> bool:
     """Whether readings come a day or more apart; hourly when that is undefined."""
-    gap = median_gap(df, key, time).first()[0]
+    gap = median_gap(df, key, time, longer).first()[0]
     return gap is not None and gap >= DAY_SECONDS
 
 

@@ -8,9 +8,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagline.functions.clean import calendar, with_numbers, with_times
+from lagline.functions.clean import calendar, present, with_numbers, with_times
 from lagline.operators.filters import matching_text, only_pollutant
 from lagline.operators.joins import attach_weather
+from lagline.operators.series import long_series
 from lagline.operators.windows import is_daily, window_features
 from lagline.sources import names
 from lagline.sources.columns import (
@@ -60,10 +61,11 @@ def hourly_features(
     keep = [*key, *(c for c in names.HOURLY_COLUMNS if c not in key)]
     x = x.select(*[c for c in keep if c in x.columns])
     x = with_numbers(with_times(x, ["datetime"]), ["value"])
-    x = only_pollutant(x.na.drop(subset=["datetime", *key]), pollutant)
+    x = only_pollutant(present(x, ["datetime", *key]), pollutant)
     x = attach_weather(x, weather)
+    longer = long_series(x, key)
     if daily is None:
-        daily = is_daily(x, key)
+        daily = is_daily(x, key, longer=longer)
     x = window_features(
         x,
         key,
@@ -71,6 +73,7 @@ def hourly_features(
         lags=lags,
         rolls=[DAILY_ROLL if daily else HOURLY_ROLL],
         target="target",
+        longer=longer,
     )
     x = x.withColumns(calendar(F.col("datetime"))).na.drop()
     not_features = {*names.HOURLY_COLUMNS, *key, "target"}
@@ -92,13 +95,13 @@ def daily_features(
     if time is None:
         raise ValueError(f"no time column among {table.columns}")
     x = table.withColumnRenamed(time, "datetime")
-    x = with_times(x, ["datetime"]).na.drop(subset=["datetime"])
+    x = present(with_times(x, ["datetime"]), ["datetime"])
     x = x.withColumnRenamed(daily_value_column(x.schema), "value")
     x = with_numbers(x, ["value"])
     if key is None:
         x, key = with_series_key(x)
     x = window_features(
-        x.na.drop(subset=list(key)),
+        present(x, key),
         key,
         ["datetime", "value"],
         lags=lags,

@@ -13,13 +13,13 @@ from lagline.functions.clean import (
     STD_FLOOR,
     calendar,
     from_zscore,
+    present,
     standard_rows,
     step_interval,
     zscore,
 )
 from lagline.functions.history import back, dot, mean_before_newest, push, recur
 from lagline.operators.filters import (
-    by_history_length,
     history_tail,
     matching_text,
     only_normal_pollutant,
@@ -67,6 +67,16 @@ def history_arrays(history: DataFrame, key: Sequence[str], keep: int) -> DataFra
     )
 
 
+def ready_histories(
+    history: DataFrame, key: Sequence[str], need: int
+) -> tuple[DataFrame, DataFrame]:
+    """(histories of ``need`` values, the series that have fewer and how many)."""
+    arrays = settle(history_arrays(history, key, need))
+    size = F.size("__history")
+    short = arrays.where(size < need).select(*key, size.cast("bigint").alias("history_rows"))
+    return arrays.where(size >= need), short
+
+
 def spread_forecasts(rows: DataFrame, key: Sequence[str], values: Column, freq: str) -> DataFrame:
     """Turn an array of forecasts per series into rows with their times."""
     steps = rows.select(*key, "__last", F.posexplode(values).alias("__step", "forecast"))
@@ -76,7 +86,7 @@ def spread_forecasts(rows: DataFrame, key: Sequence[str], values: Column, freq:
 
 def future_times(history: DataFrame, key: Sequence[str], horizon: int, freq: str) -> DataFrame:
     """The next ``horizon`` times after each series' last one."""
-    last = history.groupBy(*key).agg(F.max("datetime").alias("__last")).na.drop(subset=["__last"])
+    last = present(history.groupBy(*key).agg(F.max("datetime").alias("__last")), ["__last"])
     step = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("__step")
     time = F.col("__last") + step_interval(freq, F.col("__step"))
     return last.select(*key, "__last", step).select(*key, time.alias("datetime"))
@@ -98,7 +108,7 @@ def forest_inputs(
     """
     shift = 0 if alignment == "reference" else 1
     known = {f"lag_{n}": back(history, n + shift) for n in lags_in(features)}
-    known |= {name: mean_before_newest(history, n) for name, n in ROLLS.items()}
+    known |= {r: mean_before_newest(history, n) for r, n in ROLLS.items() if r in features}
     known |= calendar(following if alignment == "reference" else last)
     return {f: known.get(f, F.lit(0.0)).cast("double") for f in features}
 
@@ -126,17 +136,16 @@ def forecast_forest(
 ) -> Forecast:
     """Step all series forward together, feeding each prediction back as a lag."""
     need = history_needed(model.features, alignment)
-    enough, short = by_history_length(history, key, need)
-    state = history_arrays(enough, key, need).where(F.size("__history") >= need)
-    state = settle(state.withColumn("__made", F.array().cast("array<double>")))
+    state, short = ready_histories(history, key, need)
+    state = state.withColumn("__made", F.array().cast("array<double>"))
     assembler = VectorAssembler(inputCols=model.features, outputCol="__x")
     fitted = model.model.copy()
     fitted.setFeaturesCol("__x").setPredictionCol("__y")
     past, made, y = F.col("__history"), F.col("__made"), F.col("__y")
+    last = F.col("__last") + step_interval(freq, F.size(made))
+    following = F.col("__last") + step_interval(freq, F.size(made) + 1)
+    inputs = forest_inputs(model.features, past, last, following, alignment)
     for done in range(1, horizon + 1):
-        last = F.col("__last") + step_interval(freq, F.size(made))
-        following = F.col("__last") + step_interval(freq, F.size(made) + 1)
-        inputs = forest_inputs(model.features, past, last, following, alignment)
         stepped = fitted.transform(assembler.transform(state.withColumns(inputs)))
         state = stepped.select(
             *key,
@@ -160,7 +169,7 @@ def forecast_seasonal(
     times = model.scaling.attach(future_times(history, key, horizon, freq))
     predicted = dot(model.design.columns(F.col("datetime")), model.weights)
     value = from_zscore(predicted + F.lit(model.intercept), F.col("mean"), F.col("std"))
-    _, short = by_history_length(history, key, 1)
+    short = history.limit(0).select(*key, F.lit(0).cast("bigint").alias("history_rows"))
     return Forecast(times.select(*key, "datetime", value.alias("forecast")), short)
 
 
@@ -172,9 +181,8 @@ def forecast_sequence(
     freq: str = "D",
 ) -> Forecast:
     """Recurse on the standardised values, the whole horizon in one projection."""
-    enough, short = by_history_length(history, key, model.seq_len)
-    state = history_arrays(enough, key, model.seq_len)
-    state = model.scaling.attach(state.where(F.size("__history") >= model.seq_len))
+    state, short = ready_histories(history, key, model.seq_len)
+    state = model.scaling.attach(state)
     mean, std = F.col("mean"), F.col("std")
     scaled = F.transform("__history", lambda v: zscore(v, mean, std + F.lit(STD_FLOOR)))
     ahead = recur(scaled, model.weights, model.intercept, horizon)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import epoch_micros
-from lagline.operators.series import match_keys
+from lagline.operators.series import broadcast_if_short, match_keys
 
 DAY_SECONDS = 86_400.0
 
@@ -41,7 +41,7 @@ class Scaling:
         known = self.per_series.select(
             *self.key, F.col("mean").alias("__mean"), F.col("std").alias("__std")
         )
-        found = match_keys(rows, known, self.key, "left")
+        found = match_keys(rows, broadcast_if_short(known), self.key, "left")
         return found.withColumns(
             {n: F.coalesce(F.col(f"__{n}"), c) for n, c in whole.items()}
         ).drop("__mean", "__std")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +28,24 @@ MAE_LIMIT = 15.0
 DRIFT_LIMIT = 10.0
 
 
-class Report(NamedTuple):
-    """The alert summary and the tables behind it, each per series key."""
+@dataclass(frozen=True)
+class Report:
+    """The alert summary per series key, and what it was made from."""
 
+    key: Sequence[str]
+    labelled: DataFrame
     summary: DataFrame
-    quality: DataFrame
-    errors: DataFrame
-    largest: DataFrame
     drift: DataFrame
 
+    def quality(self) -> DataFrame:
+        return regression_quality(self.labelled, [*self.key, "slice"])
+
+    def errors(self) -> DataFrame:
+        return error_histogram(self.labelled, self.key)
+
+    def largest(self) -> DataFrame:
+        return largest_errors(self.labelled, self.key)
+
 
 def monitor(
     truth: DataFrame,
@@ -55,14 +64,7 @@ def monitor(
     labelled = settle(recent_split(pairs, ["datetime", "value", "forecast"], key))
     drift = settle(column_drift(labelled, key))
     summary = alert_summary(labelled, drift, key, mae_limit, drift_limit, drift_share)
-    sliced = [*key, "slice"]
-    return Report(
-        summary,
-        regression_quality(labelled, sliced),
-        error_histogram(labelled, key),
-        largest_errors(labelled, key),
-        drift,
-    )
+    return Report(key, labelled, summary, drift)
 
 
 def alert_summary(
@@ -130,4 +132,4 @@ def run_monitoring(
     }
     if params["n_points"]:
         log_run(spark, log, "monitor", params, overall)
-    return report._replace(summary=summary)
+    return replace(report, summary=summary)

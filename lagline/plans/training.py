@@ -88,7 +88,7 @@ def fit_scaling(rows: DataFrame, key: Sequence[str]) -> Scaling:
     overall = scaler(rows).first()
     if overall["mean"] is None:
         raise ValueError("no rows to fit on")
-    table = settle(scaler(rows, key)) if key else None
+    table = settle(scaler(rows, key)) if key else None  # read again by every attach
     return Scaling(list(key), overall["mean"], overall["std"], table)
 
 

@@ -17,7 +17,7 @@ def open_tables(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0
     return str(value) if value is not None else None
 
 
