@@ -1,8 +1,11 @@
 """Training, forecasting and scoring."""
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from catalog.registry import (
+    HOURLY,
     READINGS,
     as_bigint,
     daily,
@@ -11,7 +14,8 @@ from catalog.registry import (
     readings,
     rounded,
 )
-from lagline.operators.metrics import forecast_summary
+from lagline.functions.clean import present
+from lagline.operators.windows import window_features
 from lagline.plans.daily import daily_run as run_daily
 from lagline.plans.features import daily_features, hourly_features
 from lagline.plans.forecasting import (
@@ -139,6 +143,29 @@ def batch_scoring(spark, folder):
     return scored.select("pollutant", "datetime", "forecast")
 
 
+@query(f"""WITH {HOURLY},
+  pairs AS (
+    SELECT * FROM (
+      SELECT pollutant, datetime, value, lag(value, 1) OVER w AS lag_1,
+             lead(value) OVER w AS target
+      FROM hourly WINDOW w AS (PARTITION BY pollutant ORDER BY datetime))
+    WHERE lag_1 IS NOT NULL AND target IS NOT NULL),
+  line AS (SELECT regr_slope(target, lag_1) AS slope, regr_intercept(target, lag_1) AS start
+           FROM pairs)
+  SELECT pollutant, datetime, round(start + slope * lag_1, 6) AS forecast FROM pairs, line""")
+def batch_scoring_line(spark, folder):
+    rows = window_features(
+        hourly(spark, folder), KEY, ["datetime"], lags=[1], target="target"
+    )
+    rows = present(rows, ["lag_1", "target"])
+    line = LinearRegression(
+        featuresCol="__features", labelCol="target", predictionCol="forecast", solver="normal"
+    )
+    vectors = VectorAssembler(inputCols=["lag_1"], outputCol="__features").transform(rows)
+    scored = score_rows(rows.drop("target"), line.fit(vectors), ["lag_1"])
+    return rounded(scored.select("pollutant", "datetime", "forecast"), ["forecast"])
+
+
 @query()
 def daily_run(spark, folder):
     """One row per stage: rows written or compared, and the error it reports."""

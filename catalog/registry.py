@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagline.functions.clean import present
+from lagline.operators.windows import window_features
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -83,10 +86,8 @@ DAILY = """daily AS (
 
 def naive_forecast(rows: DataFrame) -> DataFrame:
     """The previous value of the same pollutant as the forecast of the next."""
-    before = Window.partitionBy("pollutant").orderBy("datetime")
-    return rows.withColumn("forecast", F.lag("value", 1).over(before)).na.drop(
-        subset=["forecast"]
-    )
+    lagged = window_features(rows, ["pollutant"], ["datetime"], lags=[1])
+    return present(lagged.withColumnRenamed("lag_1", "forecast"), ["forecast"])
 
 
 def naive(source: str) -> str:

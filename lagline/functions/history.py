@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,7 +33,12 @@ def push(history: Column, value: Column, keep: int) -> Column:
     return F.slice(longer, F.greatest(F.size(longer) - keep + 1, F.lit(1)), keep)
 
 
+def weighted_sum(values: Sequence[Column], weights: Sequence[float]) -> Column:
+    return reduce(Column.__add__, [v * F.lit(w) for v, w in zip(values, weights, strict=True)])
+
+
 def dot(values: Column, weights: Sequence[float]) -> Column:
+    """:func:`weighted_sum` of the elements of an array."""
     products = F.zip_with(values, F.array(*map(F.lit, weights)), lambda v, w: v * w)
     return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
 

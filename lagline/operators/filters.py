@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import normal_label
-from lagline.operators.series import match_keys
+from lagline.operators.series import match_keys, with_position
+
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def only_pollutant(df: DataFrame, pollutant: str | None) -> DataFrame:
@@ -36,9 +38,16 @@ def history_tail(
 ) -> DataFrame:
     """The last ``rows`` rows of each series.
 
-    The rank limit is applied before the shuffle too, so a long series sends at most
-    ``rows`` rows per input partition.
+    Spark applies the rank limit before the shuffle too, so a long series sends at most
+    ``rows`` rows per input partition. It does so up to a threshold; a longer tail is
+    taken by position.
     """
+    if not key:
+        return df.orderBy(*[F.desc(c) for c in order]).limit(rows)
+    if rows > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        placed = with_position(df, key, order, "__position", "__size")
+        tail = placed.where(F.col("__position") > F.col("__size") - rows)
+        return tail.drop("__position", "__size")
     latest = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
     ranked = df.withColumn("__rank", F.row_number().over(latest))
     return ranked.where(F.col("__rank") <= rows).drop("__rank")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import present
-from lagline.session import series_row_limit, settle
+from lagline.session import series_row_limit, settle, settle_table
 
 Compute = Callable[[DataFrame, WindowSpec], DataFrame]
 
@@ -72,7 +72,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     because range bounds are sampled and may differ when computed again.
     """
     local = F.monotonically_increasing_id()
-    rows = settle(
+    rows = settle_table(
         df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", local)
     )
     part = F.shiftright("__id", 33)
@@ -196,7 +196,7 @@ def running_totals(
     if longer is None:
         return add(df, series_window(group, order))
     # Sum inside range partitions, then add what the earlier partitions hold.
-    rows = settle(
+    rows = settle_table(
         df.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id())
     )
     before = series_window(group, ["__part"]).rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from lagline.functions.clean import (
     step_interval,
     zscore,
 )
-from lagline.functions.history import back, dot, mean_before_newest, push, recur
+from lagline.functions.history import back, mean_before_newest, push, recur, weighted_sum
 from lagline.operators.filters import (
     history_tail,
     matching_text,
@@ -167,7 +167,7 @@ def forecast_seasonal(
 ) -> Forecast:
     """Evaluate the seasonal model at the next times; nothing is fed back."""
     times = model.scaling.attach(future_times(history, key, horizon, freq))
-    predicted = dot(model.design.columns(F.col("datetime")), model.weights)
+    predicted = weighted_sum(model.design.columns(F.col("datetime")), model.weights)
     value = from_zscore(predicted + F.lit(model.intercept), F.col("mean"), F.col("std"))
     short = history.limit(0).select(*key, F.lit(0).cast("bigint").alias("history_rows"))
     return Forecast(times.select(*key, "datetime", value.alias("forecast")), short)

@@ -67,8 +67,8 @@ class SeasonalDesign:
     harmonics: list[tuple[float, int]]  # (period in seconds, order)
     dropped: list[str] = field(default_factory=list)
 
-    def columns(self, time: Column) -> Column:
-        """Piecewise linear trend and Fourier terms as one array."""
+    def columns(self, time: Column) -> list[Column]:
+        """Piecewise linear trend and Fourier terms."""
         micros = epoch_micros(time)
         share = (micros - F.lit(self.origin)) / F.lit(self.span * 1_000_000)
         trend = [share] + [F.greatest(share - c, F.lit(0.0)) for c in self.changepoints]
@@ -77,7 +77,7 @@ class SeasonalDesign:
             for period, order in self.harmonics
         ]
         waves = [wave(angle) for angle in angles for wave in (F.sin, F.cos)]
-        return F.array(*trend, *waves)
+        return [*trend, *waves]
 
 
 @dataclass

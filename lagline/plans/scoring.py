@@ -6,9 +6,12 @@ from collections.abc import Sequence
 from typing import Protocol
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from lagline.plans.models import load_model
 from lagline.sources.columns import scoring_columns
+from lagline.sources.sinks import write_parquet
 
 
 class Transformer(Protocol):
@@ -31,3 +34,12 @@ def score_rows(
         handleInvalid="keep",
     )
     return model.transform(assembler.transform(rows)).drop(vector)
+
+
+def score_files(
+    spark: SparkSession, rows: str, schema: T.StructType | str, model: str, out: str
+) -> DataFrame:
+    """Score the JSON rows below a path with a saved forest and write them with forecasts."""
+    saved = load_model(spark, model)
+    scored = score_rows(spark.read.schema(schema).json(rows), saved.model, saved.features)
+    return spark.read.parquet(write_parquet(scored, out))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import epoch_micros, from_zscore, zscore
-from lagline.functions.history import dot
+from lagline.functions.history import weighted_sum
 from lagline.operators.metrics import scaler, slice_metrics
 from lagline.operators.series import with_position
 from lagline.operators.splits import holdout
@@ -93,14 +93,14 @@ def fit_scaling(rows: DataFrame, key: Sequence[str]) -> Scaling:
 
 
 def fit_linear(
-    rows: DataFrame, inputs: Column, label: Column, ridge: float
+    rows: DataFrame, inputs: Sequence[Column], label: Column, ridge: float
 ) -> tuple[list[float], float]:
     """Least squares in one pass over the rows; weights and intercept."""
     regression = LinearRegression(
         featuresCol="__x", labelCol="__y", solver="normal", regParam=ridge, elasticNetParam=0.0
     )
     fitted = regression.fit(
-        rows.select(array_to_vector(inputs).alias("__x"), label.alias("__y"))
+        rows.select(array_to_vector(F.array(*inputs)).alias("__x"), label.alias("__y"))
     )
     return fitted.coefficients.tolist(), float(fitted.intercept)
 
@@ -131,11 +131,11 @@ def train_sequence(
     scaling = fit_scaling(fitted_on, key)
     pairs = scaling.attach(sequences(rows, key, order, "value", seq_len))
     mean, std = F.col("mean"), F.col("std")
-    inputs = F.transform("sequence", lambda v: zscore(v, mean, std))
+    inputs = [zscore(F.get("sequence", F.lit(i)), mean, std) for i in range(seq_len)]
     weights, intercept = fit_linear(
         pairs.where("slice = 'train'"), inputs, zscore(F.col("value"), mean, std), ridge
     )
-    predicted = dot(inputs, weights) + F.lit(intercept)
+    predicted = weighted_sum(inputs, weights) + F.lit(intercept)
     scored = pairs.withColumn("forecast", from_zscore(predicted, mean, std)).drop(
         "sequence", "mean", "std"
     )
@@ -187,7 +187,7 @@ def train_seasonal(
     weights, intercept = fit_linear(
         scaled.where("slice = 'train'"), terms, zscore(F.col("value"), mean, std), ridge
     )
-    predicted = dot(terms, weights) + F.lit(intercept)
+    predicted = weighted_sum(terms, weights) + F.lit(intercept)
     scored = scaled.withColumn("forecast", from_zscore(predicted, mean, std))
     scored = scored.drop("mean", "std")
     model = SeasonalModel(design, weights, intercept, scaling)

@@ -19,6 +19,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -62,6 +63,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settle_table(df: DataFrame) -> DataFrame:
+    """Like :func:`settle` for many rows: a Parquet table, of which later steps read only
+    the columns they need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:

@@ -42,6 +42,11 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def preview(df: DataFrame, rows: int = 3) -> tuple[list[str], DataFrame]:
+    """The column names and the first rows of a table."""
+    return df.columns, df.limit(rows)
+
+
 def land_csv(
     spark: SparkSession, csv: str, parquet: str, schema: T.StructType | str
 ) -> DataFrame:

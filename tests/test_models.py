@@ -25,7 +25,7 @@ from lagline.plans.models import (
     save_model,
     scaler_values,
 )
-from lagline.plans.scoring import score_rows
+from lagline.plans.scoring import score_files, score_rows
 from lagline.plans.training import train, train_forest, train_seasonal, train_sequence
 from lagline.sources.sinks import read_runs
 
@@ -237,6 +237,24 @@ def test_score_rows_with_a_forest(table, forest):
     assert scored.count() == rows.frame.count()
 
 
+def test_score_files(spark, table, forest, tmp_path):
+    rows = daily_features(table, key=KEY).frame
+    rows.drop("target").write.json(f"{tmp_path}/rows")
+    save_model(spark, forest.model, f"{tmp_path}/m")
+    scored = score_files(spark, f"{tmp_path}/rows", rows.schema, f"{tmp_path}/m", f"{tmp_path}/out")
+    assert scored.count() == rows.count()
+    assert scored.where("forecast IS NULL").count() == 0
+
+
+def test_long_tails(spark, tiny_tasks):
+    table = days(spark, {"a": range(1500), "b": range(5)})
+    assert history_tail(table, KEY, 1200).groupBy("station").count().orderBy("station").collect() == [
+        ("a", 1200),
+        ("b", 5),
+    ]
+    assert history_tail(table, [], 3).agg(F.min("value")).first()[0] == 1497.0
+
+
 def test_history_filters(spark):
     uneven = days(spark, {"a": range(10), "Ab": range(3), "c": range(5)})
     assert {r[0] for r in history_tail(uneven, KEY, 2).select("value").collect()} == {

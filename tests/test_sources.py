@@ -22,6 +22,7 @@ from lagline.sources.tables import (
     load_hourly,
     load_predictions,
     load_training,
+    preview,
     read_tables,
 )
 
@@ -123,6 +124,11 @@ def test_default_paths():
     ]
 
 
+def test_preview(spark):
+    columns, rows = preview(spark.range(9))
+    assert columns == ["id"] and rows.count() == 3
+
+
 def test_load_training_and_daily(spark):
     exact = frame(spark, "Date string, Indice string", ("2024-01-01", "4"), ("x", "4"))
     assert [tuple(r) for r in load_training(exact).collect()] == [(DAY, 4.0)]
