@@ -126,7 +126,8 @@ def hourly_features_weather(spark, folder):
   {_hourly_sql('sites', key='station_name, pollutant')}""")
 def featurise_job(spark, folder):
     site = F.concat(F.lit("Site-"), F.floor(F.col("station_id") / 50).cast("string"))
-    rows = readings(spark, folder).select("datetime", site.alias("station_name"), "pollutant", "value")
+    columns = ["datetime", site.alias("station_name"), "pollutant", "value"]
+    rows = readings(spark, folder).select(*columns)
     built = featurise_readings(rows, station="SITE-[01]", pollutant="click")
     return rounded(as_bigint(built.frame, CALENDAR), ["roll_24"])
 

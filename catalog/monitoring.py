@@ -1,7 +1,5 @@
 """Splits, metrics, drift and alerts."""
 
-from pyspark.sql import functions as F
-
 from catalog.registry import (
     DAILY,
     LABELLED,

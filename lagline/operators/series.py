@@ -172,7 +172,8 @@ def with_position(
     spans = rows.groupBy(*key).agg(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias(size)
     )
-    split = attach_by_key(rows, spans, key).withColumn(
+    spanned = attach_by_key(rows, spans, key)
+    split = spanned.withColumn(
         position, F.col("__row") - F.col("__first") + 1
     )
     return short.unionByName(split.drop("__row", "__first"))
