@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,21 +26,50 @@ BROADCAST_ROWS = 100_000
 UNKNOWN = object()
 
 
+class LongSeries(NamedTuple):
+    """The keys of the series too long for one task, and their rows taken together."""
+
+    keys: DataFrame
+    rows: int
+
+
+Known = LongSeries | None | object
+
+
 def series_window(key: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*key).orderBy(*order)
 
 
-def long_series(df: DataFrame, key: Sequence[str]) -> DataFrame | None:
-    """Keys with more rows than one task may sort, or None when there are none.
+def long_series(df: DataFrame, key: Sequence[str]) -> LongSeries | None:
+    """The series with more rows than one task may sort, or None when there are none.
 
-    One count per key with map-side combine; the result has at most
-    ``rows / limit`` entries.
+    One count per key with map-side combine; at most ``rows / limit`` keys are found.
     """
     limit = series_row_limit(df.sparkSession)
     if not key:
-        return df.limit(0) if df.count() > limit else None
-    longer = df.groupBy(*key).count().where(F.col("count") > limit).select(*key)
-    return None if longer.isEmpty() else settle(longer)
+        rows = df.count()
+        return LongSeries(df.limit(0), rows) if rows > limit else None
+    longer = df.groupBy(*key).count().where(F.col("count") > limit)
+    if longer.isEmpty():
+        return None
+    longer = settle(longer)
+    return LongSeries(longer.select(*key), longer.agg(F.sum("count")).first()[0])
+
+
+def set_apart(
+    df: DataFrame, key: Sequence[str], longer: LongSeries
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of the series that fit in a task, rows of the long ones)."""
+    if not key:
+        return df.limit(0), df
+    keys = broadcast_if_short(longer.keys)
+    return match_keys(df, keys, key, "left_anti"), match_keys(df, keys, key, "left_semi")
+
+
+def ranges_for(df: DataFrame, rows: int) -> int:
+    """Range partitions that keep each below the rows one task may sort."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-rows // series_row_limit(df.sparkSession)))
 
 
 def match_keys(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
@@ -64,7 +94,7 @@ def broadcast_if_short(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], name: str, rows: int) -> DataFrame:
     """Zero-based position of every row in the total order, without a single-task sort.
 
     Rows are range-partitioned and sorted, numbered inside their partition, and
@@ -72,19 +102,18 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     because range bounds are sampled and may differ when computed again.
     """
     local = F.monotonically_increasing_id()
-    rows = settle_table(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", local)
-    )
+    ranges = df.repartitionByRange(ranges_for(df, rows), *order)
+    numbered = settle_table(ranges.sortWithinPartitions(*order).withColumn("__id", local))
     part = F.shiftright("__id", 33)
     inside = F.col("__id").bitwiseAND((1 << 33) - 1)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (  # one row per partition
-        rows.groupBy(part.alias("__part"))
+        numbered.groupBy(part.alias("__part"))
         .count()
         .select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
     )
     return (
-        rows.withColumn("__part", part)
+        numbered.withColumn("__part", part)
         .join(F.broadcast(starts), "__part")
         .withColumn(name, F.col("__start") + inside)
         .drop("__id", "__part", "__start")
@@ -98,7 +127,7 @@ def over_series(
     compute: Compute,
     back: int = 0,
     ahead: int = 0,
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> DataFrame:
     """Apply window columns that look at most ``back`` rows back and ``ahead`` rows on.
 
@@ -111,13 +140,9 @@ def over_series(
         longer = long_series(df, key)
     if longer is None:
         return compute(df, series_window(key, order))
-    if not key:
-        return _in_segments(df, key, order, compute, back, ahead)
-    short = compute(match_keys(df, longer, key, "left_anti"), series_window(key, order))
-    split = _in_segments(
-        match_keys(df, longer, key, "left_semi"), key, order, compute, back, ahead
-    )
-    return short.unionByName(split)
+    short, long = set_apart(df, key, longer)
+    split = _in_segments(long, key, order, compute, back, ahead, longer.rows)
+    return compute(short, series_window(key, order)).unionByName(split) if key else split
 
 
 def _in_segments(
@@ -127,15 +152,16 @@ def _in_segments(
     compute: Compute,
     back: int,
     ahead: int,
+    rows: int,
 ) -> DataFrame:
-    rows = max(series_row_limit(df.sparkSession), back + ahead + 1)
+    length = max(series_row_limit(df.sparkSession), back + ahead + 1)
 
     def segment(position: Column) -> Column:
-        return F.floor(position / rows)
+        return F.floor(position / length)
 
     at = F.col("__row")
     copies = (
-        number_rows(df, [*key, *order], "__row")
+        number_rows(df, [*key, *order], "__row", rows)
         .withColumn("__home", segment(at))
         .withColumn(
             "__segment",
@@ -161,14 +187,15 @@ def with_position(
         total = df.count()
         if total <= series_row_limit(df.sparkSession):
             return df.withColumns({position: at, size: F.lit(total).cast("bigint")})
-        numbered = number_rows(df, order, position)
+        numbered = number_rows(df, order, position, total)
         return numbered.withColumns({position: F.col(position) + 1, size: F.lit(total).cast("bigint")})
     longer = long_series(df, key)
     count = F.count(F.lit(1)).over(Window.partitionBy(*key))
     if longer is None:
         return df.withColumns({position: at, size: count})
-    short = match_keys(df, longer, key, "left_anti").withColumns({position: at, size: count})
-    rows = number_rows(match_keys(df, longer, key, "left_semi"), [*key, *order], "__row")
+    short, long = set_apart(df, key, longer)
+    short = short.withColumns({position: at, size: count})
+    rows = number_rows(long, [*key, *order], "__row", longer.rows)
     spans = rows.groupBy(*key).agg(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias(size)
     )
@@ -184,7 +211,7 @@ def running_totals(
     group: Sequence[str],
     order: Sequence[str],
     totals: dict[str, str],
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> DataFrame:
     """Running sums (``{new name: column}``) up to and including each row of its group."""
 
@@ -197,9 +224,9 @@ def running_totals(
     if longer is None:
         return add(df, series_window(group, order))
     # Sum inside range partitions, then add what the earlier partitions hold.
-    rows = settle_table(
-        df.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id())
-    )
+    short, long = set_apart(df, group, longer)
+    ranges = long.repartitionByRange(ranges_for(df, longer.rows), *group, *order)
+    rows = settle_table(ranges.withColumn("__part", F.spark_partition_id()))
     before = series_window(group, ["__part"]).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*group, "__part")
@@ -209,10 +236,11 @@ def running_totals(
         )
     )
     local = add(rows, series_window([*group, "__part"], order))
-    joined = match_keys(local, carried, [*group, "__part"], "inner")
-    return joined.withColumns({n: F.col(n) + F.col(f"__c_{n}") for n in totals}).drop(
+    joined = attach_by_key(local, carried, [*group, "__part"])
+    split = joined.withColumns({n: F.col(n) + F.col(f"__c_{n}") for n in totals}).drop(
         "__part", *[f"__c_{n}" for n in totals]
     )
+    return add(short, series_window(group, order)).unionByName(split) if group else split
 
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -234,11 +262,14 @@ def exact_quantiles(
     distinct values in memory; larger ones go through :func:`quantiles_of_counts`.
     """
     rows = present(df.select(*group, value), [value])
-    if long_series(rows, group) is None:
-        return rows.groupBy(*group).agg(
-            F.percentile(value, F.array(*map(F.lit, probabilities))).alias(name)
-        )
-    return quantiles_of_counts(value_counts(rows, group, value), group, value, probabilities, name)
+    at_once = F.percentile(value, F.array(*map(F.lit, probabilities))).alias(name)
+    longer = long_series(rows, group)
+    if longer is None:
+        return rows.groupBy(*group).agg(at_once)
+    short, long = set_apart(rows, group, longer)
+    counts = settle_table(value_counts(long, group, value))
+    split = quantiles_of_counts(counts, group, value, probabilities, name)
+    return short.groupBy(*group).agg(at_once).unionByName(split) if group else split
 
 
 def quantiles_of_counts(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lagline.functions.clean import epoch_micros
 from lagline.operators.series import (
     UNKNOWN,
+    Known,
     over_series,
     quantiles_of_counts,
     value_counts,
@@ -33,7 +34,7 @@ def window_features(
     lags: Sequence[int] = (),
     rolls: Sequence[int] = (),
     target: str | None = None,
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> DataFrame:
     """``lag_n``, ``roll_n`` and the next value, all from one shuffle and one sort."""
 
@@ -52,7 +53,7 @@ def time_gaps(
     df: DataFrame,
     key: Sequence[str],
     time: str = "datetime",
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> DataFrame:
     """Seconds since the row before in the same series; null for its first row."""
 
@@ -68,7 +69,7 @@ def median_gap(
     df: DataFrame,
     key: Sequence[str],
     time: str = "datetime",
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> DataFrame:
     """One row: the median gap in seconds over all series."""
     gaps = settle(value_counts(time_gaps(df, key, time, longer), [], "gap_seconds"))
@@ -80,7 +81,7 @@ def is_daily(
     df: DataFrame,
     key: Sequence[str],
     time: str = "datetime",
-    longer: DataFrame | None | object = UNKNOWN,
+    longer: Known = UNKNOWN,
 ) -> bool:
     """Whether readings come a day or more apart; hourly when that is undefined."""
     gap = median_gap(df, key, time, longer).first()[0]
