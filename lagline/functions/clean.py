@@ -48,7 +48,7 @@ def epoch_micros(time: Column) -> Column:
 def parse_time(column: Column, kind: T.DataType) -> Column:
     """Any time-like column to UTC wall clock; what cannot be read becomes null.
 
-    Text without a zone is taken as UTC, whole numbers as nanoseconds since 1970.
+    Text without a zone is taken as UTC, numbers as nanoseconds since 1970.
     """
     if isinstance(kind, T.TimestampNTZType):
         return column
@@ -59,9 +59,12 @@ def parse_time(column: Column, kind: T.DataType) -> Column:
         return F.when(
             text.rlike(ZONE_SUFFIX), instant_to_utc(text.try_cast("timestamp"))
         ).otherwise(text.try_cast("timestamp_ntz"))
-    if isinstance(kind, T.IntegralType):
-        return instant_to_utc(F.timestamp_micros(F.floor(column.cast("bigint") / 1_000)))
-    return column.try_cast("timestamp_ntz")
+    if isinstance(kind, T.DateType):
+        return column.cast("timestamp_ntz")
+    if isinstance(kind, T.NumericType):
+        micros = F.call_function("div", column.try_cast("bigint"), F.lit(1_000))
+        return instant_to_utc(F.timestamp_micros(micros))
+    return F.lit(None).cast("timestamp_ntz")
 
 
 def parse_number(column: Column, kind: T.DataType) -> Column:

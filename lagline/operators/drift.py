@@ -16,7 +16,7 @@ from lagline.operators.series import (
     over_series,
     running_totals,
 )
-from lagline.session import settle
+from lagline.session import settle_table
 
 # Our own settings: the drift test and its limits are parameters with these defaults.
 KS_P_VALUE = 0.05
@@ -128,7 +128,7 @@ def column_distances(
     def rows_in(label: str) -> Column:
         return F.count(F.when(F.col("slice") == label, True))
 
-    counted = settle(  # read four times below
+    counted = settle_table(  # read four times below
         present(cells, ["__x"])
         .groupBy(*group, "__x")
         .agg(rows_in("reference").alias("__r"), rows_in("current").alias("__c"))

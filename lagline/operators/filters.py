@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagline.functions.clean import normal_label
-from lagline.operators.series import match_keys, with_position
+from lagline.operators.series import broadcast_if_short, match_keys, with_position
+from lagline.session import settle
 
 GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -58,7 +59,7 @@ def by_history_length(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of series with at least ``rows`` rows, the shorter series and their sizes)."""
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("history_rows"))
-    short = sizes.where(F.col("history_rows") < rows)
+    short = settle(sizes.where(F.col("history_rows") < rows))
     if not key:
         return (df if short.isEmpty() else df.limit(0)), short
-    return match_keys(df, short.select(*key), key, "left_anti"), short
+    return match_keys(df, broadcast_if_short(short.select(*key)), key, "left_anti"), short

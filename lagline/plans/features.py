@@ -133,8 +133,9 @@ def featurise_files(
     out: str,
     station: str = DEFAULT_STATION,
     pollutant: str = DEFAULT_POLLUTANT,
+    partition_by: Sequence[str] = (),
 ) -> FeatureTable:
     """Read the hourly tables, build their features and write them to ``out``."""
     table = featurise_readings(read_tables(spark, paths), station, pollutant)
-    write_parquet(table.frame, out)
+    write_parquet(table.frame, out, partition_by)
     return FeatureTable(spark.read.parquet(out), table.features)

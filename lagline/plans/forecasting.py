@@ -236,7 +236,8 @@ def choose_history(
     rows = history_window
     if isinstance(model, ForestModel):
         rows = max([rows, *lags_in(model.features)])
-    tail = history_tail(table.select(*key, "datetime", "value"), key, rows)
+    columns_kept = table.select(*key, "datetime", "value")
+    tail = history_tail(columns_kept, key, rows, ["datetime", "value"])
     return standard_rows(tail)
 
 

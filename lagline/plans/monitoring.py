@@ -20,7 +20,7 @@ from lagline.operators.joins import align
 from lagline.operators.metrics import mae, regression_quality, rmse
 from lagline.operators.series import match_keys
 from lagline.operators.splits import recent_split
-from lagline.session import settle
+from lagline.session import settle, settle_table
 from lagline.sources.sinks import log_run
 
 # Alert limits.
@@ -61,7 +61,7 @@ def monitor(
     row with no points and no alert.
     """
     pairs = align(truth, forecasts, key)
-    labelled = settle(recent_split(pairs, ["datetime", "value", "forecast"], key))
+    labelled = settle_table(recent_split(pairs, ["datetime", "value", "forecast"], key))
     drift = settle(column_drift(labelled, key))
     summary = alert_summary(labelled, drift, key, mae_limit, drift_limit, drift_share)
     return Report(key, labelled, summary, drift)

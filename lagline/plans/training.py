@@ -27,7 +27,7 @@ from lagline.plans.models import (
     SeasonalModel,
     SequenceModel,
 )
-from lagline.session import settle
+from lagline.session import settle, settle_table
 
 # Forest size, holdout share, sequence length and seasonal components.
 TREES = 300
@@ -66,7 +66,8 @@ def train_forest(
     """
     rows = table.frame.na.drop(subset=[*table.features, "target"])
     kept = dict.fromkeys([*key, "datetime", "value", *table.features, "target"])
-    labelled = settle(holdout(rows.select(*kept), ["datetime", *key, "value"], split_key, share))
+    order = ["datetime", *key, "value"]
+    labelled = settle_table(holdout(rows.select(*kept), order, split_key, share))
     assembler = VectorAssembler(inputCols=table.features, outputCol="__features")
     vectors = assembler.transform(labelled)
     forest = RandomForestRegressor(
@@ -126,7 +127,7 @@ def train_sequence(
     train = F.col("__position") <= seq_len + F.floor(complete * F.lit(1 - share))
     label = F.when(train, "train").otherwise("validation")
     # Settled before the sequences are formed: they are seq_len times as wide.
-    rows = settle(rows.withColumn("slice", label).drop("__position", "__size"))
+    rows = settle_table(rows.withColumn("slice", label).drop("__position", "__size"))
     fitted_on = rows.where("slice = 'train'") if scale_on == "train" else rows
     scaling = fit_scaling(fitted_on, key)
     pairs = scaling.attach(sequences(rows, key, order, "value", seq_len))
@@ -178,7 +179,7 @@ def train_seasonal(
 ) -> Trained:
     """Additive regression on a piecewise linear trend and Fourier seasonality."""
     order = ["datetime", "value"]
-    rows = settle(holdout(table.select(*key, *order), order, key, share))
+    rows = settle_table(holdout(table.select(*key, *order), order, key, share))
     train = rows.where("slice = 'train'")
     scaling, design = fit_scaling(train, key), seasonal_design(train, key)
     scaled = scaling.attach(rows)

@@ -34,7 +34,15 @@ def test_parse_time_date_text_is_midnight(spark):
 
 
 def test_parse_time_nanoseconds(spark):
-    assert column(spark, [1_710_072_000_000_000_000], "bigint", parse_time) == [NOON]
+    exact = NOON.replace(microsecond=123_457)
+    assert column(spark, [1_710_072_000_123_457_000], "bigint", parse_time) == [exact]
+    times = [1.710072e18, float("nan"), None]
+    assert column(spark, times, "double", parse_time) == [NOON, None, None]
+
+
+def test_parse_time_other_types(spark):
+    assert column(spark, [NOON.date()], "date", parse_time) == [datetime(2024, 3, 10)]
+    assert column(spark, [True], "boolean", parse_time) == [None]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Toronto"])

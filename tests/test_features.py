@@ -120,6 +120,38 @@ def test_daily_features_against_pandas(spark):
     assert "nom_station" not in table.features
 
 
+@pytest.mark.parametrize("limit", ["1000000", "25"])
+def test_missing_values_against_pandas(spark, limit):
+    """A row without a value keeps its place in the series but spoils what covers it."""
+    rng = np.random.default_rng(3)
+    sizes = {"a": 130, "b": 40, "c": 20}
+    pdf = pd.concat(
+        pd.DataFrame(
+            {
+                "datetime": START + pd.to_timedelta(np.sort(rng.choice(400, n, False)), "h"),
+                "station_name": name,
+                "value": np.where(rng.random(n) < 0.03, np.nan, rng.normal(0, 1, n)),
+            }
+        )
+        for name, n in sizes.items()
+    ).reset_index(drop=True)
+    spark.conf.set("spark.lagline.maxSeriesRows", limit)
+    try:
+        frame = hourly_features(spark.createDataFrame(pdf)).frame.toPandas()
+    finally:
+        spark.conf.unset("spark.lagline.maxSeriesRows")
+    groups = pdf.groupby("station_name")["value"]
+    for n in HOURLY_LAGS:
+        pdf[f"lag_{n}"] = groups.shift(n)
+    pdf["roll_24"] = groups.transform(lambda s: s.shift(1).rolling(24).mean())
+    pdf["target"] = groups.shift(-1)
+    wanted = pdf.dropna().reset_index(drop=True)
+    order = ["station_name", "datetime"]
+    found = frame.sort_values(order)[wanted.columns].reset_index(drop=True)
+    assert 0 < len(wanted) < 120
+    pd.testing.assert_frame_equal(found, wanted, check_dtype=False)
+
+
 def test_daily_features_strict(spark):
     days = series(spark, 20, timedelta(days=1)).withColumn(
         "note", F.when(F.col("value") != 15, "kept")

@@ -179,6 +179,35 @@ def test_seasonal_finds_a_weekly_pattern(spark):
     assert np.abs(np.array(found) - wanted).max() < 6
 
 
+def test_seasonal_equals_least_squares(spark):
+    values = np.array(noisy(6, 70))
+    trained = train_seasonal(days(spark, {"a": values}), KEY, ridge=0.0)
+    design, k = trained.model.design, 56
+    seconds = np.arange(70) * 86_400.0
+    share = seconds / design.span
+    terms = [share] + [np.maximum(share - c, 0) for c in design.changepoints]
+    for period, n in design.harmonics:
+        angle = 2 * np.pi * n * (START - datetime(1970, 1, 1)).total_seconds() / period
+        angle = angle + 2 * np.pi * n * seconds / period
+        terms += [np.sin(angle), np.cos(angle)]
+    x = np.column_stack([*terms, np.ones(70)])
+    w, *_ = np.linalg.lstsq(x[:k], values[:k], rcond=None)
+    scored = trained.scored.orderBy("datetime").collect()
+    np.testing.assert_allclose([r["forecast"] for r in scored][:k], (x @ w)[:k], atol=1e-4)
+    assert [p / 86_400 for p, _ in design.harmonics] == [7.0] * 3
+
+
+@pytest.mark.parametrize(
+    "kind, settings", [("rf", {"trees": 3, "depth": 3}), ("prophet", {}), ("lstm", {"seq_len": 5})]
+)
+def test_one_series_needs_no_key(spark, table, kind, settings):
+    one = table.where("station = 'a'")
+    keyed, pooled = (train(one, kind, key, **settings) for key in (KEY, ()))
+    assert list(pooled.metrics.first()) == pytest.approx(list(keyed.metrics.first()))
+    made = forecast(pooled.model, one, (), 2).rows
+    assert made.columns == ["datetime", "forecast"] and made.count() == 2
+
+
 def test_seasonal_keeps_daily_terms_for_hours(spark):
     hours = days(spark, {"a": noisy(5, 24 * 20)}, timedelta(hours=1))
     design = train_seasonal(hours, KEY).model.design
