@@ -79,17 +79,34 @@ def parse_number(column: Column, kind: T.DataType) -> Column:
     return F.lit(None).cast("double")
 
 
+def quoted(name: str) -> str:
+    """A column name as it must be written where Spark would split it at a dot."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_times(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns({n: parse_time(F.col(n), df.schema[n].dataType) for n in names})
+    return df.withColumns(
+        {n: parse_time(F.col(quoted(n)), df.schema[n].dataType) for n in names}
+    )
 
 
 def with_numbers(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns({n: parse_number(F.col(n), df.schema[n].dataType) for n in names})
+    return df.withColumns(
+        {n: parse_number(F.col(quoted(n)), df.schema[n].dataType) for n in names}
+    )
 
 
 def present(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Rows that have a value in every named column; unlike ``na.drop`` this reaches a scan."""
-    return df.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in names], F.lit(True)))
+    """Rows with neither null nor NaN in the named columns; unlike ``na.drop`` the filter
+    reaches a scan."""
+
+    def has_value(name: str) -> Column:
+        column = F.col(quoted(name))
+        if isinstance(df.schema[name].dataType, T.FractionalType):
+            return column.isNotNull() & ~F.isnan(column)
+        return column.isNotNull()
+
+    return df.where(reduce(Column.__and__, map(has_value, names), F.lit(True)))
 
 
 def standard_rows(df: DataFrame, time: str = "datetime", value: str = "value") -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.functions.clean import with_numbers
+from lagline.functions.clean import present, quoted, with_numbers
 
 
 def union_tables(tables: Iterable[DataFrame]) -> DataFrame:
@@ -24,7 +24,8 @@ def wide_to_long(
     value: str = "value",
 ) -> DataFrame:
     """One row per id row and measure, keeping null cells."""
-    return with_numbers(df, measures).unpivot(list(ids), list(measures), name, value)
+    numbers = with_numbers(df, measures)
+    return numbers.unpivot([*map(quoted, ids)], [*map(quoted, measures)], name, value)
 
 
 def station_names(df: DataFrame) -> DataFrame:
@@ -32,6 +33,6 @@ def station_names(df: DataFrame) -> DataFrame:
     columns = [c for c in df.columns if "station" in c.lower()]
     if not columns:
         return df.sparkSession.createDataFrame([], "station string")
-    cells = F.array(*[F.col(c).cast("string") for c in columns])
-    listed = df.select(F.explode(cells).alias("station")).na.drop()
-    return listed.distinct().orderBy("station")
+    cells = F.array(*[F.col(quoted(c)).cast("string") for c in columns])
+    listed = df.select(F.explode(cells).alias("station"))
+    return present(listed, ["station"]).distinct().orderBy("station")

@@ -49,11 +49,12 @@ def long_series(df: DataFrame, key: Sequence[str]) -> LongSeries | None:
     if not key:
         rows = df.count()
         return LongSeries(df.limit(0), rows) if rows > limit else None
-    longer = df.groupBy(*key).count().where(F.col("count") > limit)
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__size"))
+    longer = sizes.where(F.col("__size") > limit)
     if longer.isEmpty():
         return None
     longer = settle(longer)
-    return LongSeries(longer.select(*key), longer.agg(F.sum("count")).first()[0])
+    return LongSeries(longer.select(*key), longer.agg(F.sum("__size")).first()[0])
 
 
 def set_apart(

@@ -75,7 +75,8 @@ def hourly_features(
         target="target",
         longer=longer,
     )
-    x = x.withColumns(calendar(F.col("datetime"))).na.drop()
+    x = x.withColumns(calendar(F.col("datetime")))
+    x = present(x, x.columns)
     not_features = {*names.HOURLY_COLUMNS, *key, "target"}
     return FeatureTable(x, numeric_columns(x.schema, not_features))
 
@@ -111,7 +112,7 @@ def daily_features(
     x = x.withColumns(calendar(F.col("datetime"), hour=False))
     features = numeric_columns(x.schema, {"datetime", "value", "target"})
     needed = x.columns if strict else [*features, "value", "target"]
-    return FeatureTable(x.na.drop(subset=needed), features)
+    return FeatureTable(present(x, needed), features)
 
 
 def featurise_readings(

@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.functions.clean import epoch_micros, from_zscore, zscore
+from lagline.functions.clean import epoch_micros, from_zscore, present, zscore
 from lagline.functions.history import weighted_sum
 from lagline.operators.metrics import scaler, slice_metrics
 from lagline.operators.series import with_position
@@ -64,7 +64,7 @@ def train_forest(
 
     The split runs over the whole table unless ``split_key`` asks for one per series.
     """
-    rows = table.frame.na.drop(subset=[*table.features, "target"])
+    rows = present(table.frame, [*table.features, "target"])
     kept = dict.fromkeys([*key, "datetime", "value", *table.features, "target"])
     order = ["datetime", *key, "value"]
     labelled = settle_table(holdout(rows.select(*kept), order, split_key, share))

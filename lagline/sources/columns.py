@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagline.functions.clean import parse_number
+from lagline.functions.clean import parse_number, quoted
 from lagline.sources import names
 
 
@@ -104,7 +104,10 @@ def measure_candidates(df: DataFrame, leave_out: Iterable[str]) -> list[str]:
 def measure_counts(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
     """One row: how many cells of each candidate column are numbers."""
     return df.agg(
-        *[F.count(parse_number(F.col(c), df.schema[c].dataType)).alias(c) for c in candidates]
+        *[
+            F.count(parse_number(F.col(quoted(c)), df.schema[c].dataType)).alias(c)
+            for c in candidates
+        ]
     )
 
 

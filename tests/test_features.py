@@ -47,6 +47,15 @@ def test_too_few_rows_give_none(spark):
     assert hourly_features(series(spark, 10)).frame.count() == 0
 
 
+def test_weather_names_with_dots_and_nan(spark):
+    odd = weather(spark, range(30)).withColumn(
+        "wind.speed", F.when(F.hour("datetime") == 2, float("nan")).otherwise(1.0)
+    )
+    table = hourly_features(series(spark, 30), odd)
+    assert "wind.speed" in table.features
+    assert sorted(r["value"] for r in table.frame.collect()) == [24.0, 25.0, 27.0, 28.0]
+
+
 def test_weather_gaps_do_not_shift_lags(spark):
     hours = [h for h in range(40) if h % 2 == 0]
     table = hourly_features(series(spark, 40), weather(spark, hours), lags=(1, 2))

@@ -147,6 +147,11 @@ def test_load_hourly_wide(spark):
     assert rows == {(DAY, "A", "PM2.5", 3.0), (DAY, "A", "NO2", 4.0)}
 
 
+def test_load_hourly_wide_with_dots(spark):
+    wide = frame(spark, "date string, `PM2.5` double, `a.b note` string", ("2024-01-01", 3.0, "x"))
+    assert [tuple(r) for r in load_hourly(wide).collect()] == [(DAY, "PM2.5", 3.0)]
+
+
 def test_load_hourly_overrides(spark):
     long = frame(
         spark,
