@@ -14,6 +14,7 @@ from lagline.functions.clean import (
     calendar,
     from_zscore,
     present,
+    quoted,
     standard_rows,
     step_interval,
     zscore,
@@ -138,7 +139,7 @@ def forecast_forest(
     need = history_needed(model.features, alignment)
     state, short = ready_histories(history, key, need)
     state = state.withColumn("__made", F.array().cast("array<double>"))
-    assembler = VectorAssembler(inputCols=model.features, outputCol="__x")
+    assembler = VectorAssembler(inputCols=[*map(quoted, model.features)], outputCol="__x")
     fitted = model.model.copy()
     fitted.setFeaturesCol("__x").setPredictionCol("__y")
     past, made, y = F.col("__history"), F.col("__made"), F.col("__y")

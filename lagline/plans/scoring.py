@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lagline.functions.clean import quoted
 from lagline.plans.models import load_model
 from lagline.sources.columns import scoring_columns
 from lagline.sources.sinks import write_parquet
@@ -29,7 +30,7 @@ def score_rows(
     ``vector`` is the column the model reads its features from.
     """
     assembler = VectorAssembler(
-        inputCols=scoring_columns(rows, saved_features),
+        inputCols=[*map(quoted, scoring_columns(rows, saved_features))],
         outputCol=vector,
         handleInvalid="keep",
     )

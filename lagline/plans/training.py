@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.functions.clean import epoch_micros, from_zscore, present, zscore
+from lagline.functions.clean import epoch_micros, from_zscore, present, quoted, zscore
 from lagline.functions.history import weighted_sum
 from lagline.operators.metrics import scaler, slice_metrics
 from lagline.operators.series import with_position
@@ -67,8 +67,8 @@ def train_forest(
     rows = present(table.frame, [*table.features, "target"])
     kept = dict.fromkeys([*key, "datetime", "value", *table.features, "target"])
     order = ["datetime", *key, "value"]
-    labelled = settle_table(holdout(rows.select(*kept), order, split_key, share))
-    assembler = VectorAssembler(inputCols=table.features, outputCol="__features")
+    labelled = settle_table(holdout(rows.select(*map(quoted, kept)), order, split_key, share))
+    assembler = VectorAssembler(inputCols=[*map(quoted, table.features)], outputCol="__features")
     vectors = assembler.transform(labelled)
     forest = RandomForestRegressor(
         featuresCol="__features",

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from lagline.functions.clean import quoted
 from lagline.operators.filters import by_history_length, history_tail, matching_text
 from lagline.plans.daily import daily_run
 from lagline.plans.features import daily_features
@@ -69,7 +70,7 @@ def test_forest_metrics(forest):
 
 def one_step(model, spark, features):
     row = spark.createDataFrame([tuple(features.values())], [*features])
-    assembled = VectorAssembler(inputCols=model.features, outputCol="features").transform(row)
+    assembled = VectorAssembler(inputCols=[*map(quoted, model.features)], outputCol="features").transform(row)
     fitted = model.model.copy()
     fitted.setFeaturesCol("features").setPredictionCol("y")
     return fitted.transform(assembled).first()["y"]
@@ -100,6 +101,20 @@ def test_forest_forecast_step_by_step(spark, table, forest, alignment):
     assert times == [last + timedelta(days=i) for i in (1, 2, 3)]
 
 
+def test_features_that_cannot_be_derived_are_zero(spark, table):
+    """A weather feature takes part in training and is 0 in a forecast."""
+    built = daily_features(table.withColumn("wind.speed", F.col("value") % 7), key=KEY)
+    assert "wind.speed" in built.features
+    model = train_forest(built, KEY, trees=3, depth=4).model
+    values = [r["value"] for r in table.where("station = 'a'").orderBy("datetime").collect()]
+    made = forecast_forest(model, table, KEY, 1).rows.where("station = 'a'").first()
+    at = START + timedelta(days=90)
+    inputs = {f"lag_{n}": values[-n] for n in (1, 2, 3, 7, 14)}
+    inputs |= {"roll_7": float(np.mean(values[-8:-1])), "dow": float(at.weekday())}
+    inputs |= {"month": float(at.month), "wind.speed": 0.0}
+    assert made["forecast"] == pytest.approx(one_step(model, spark, inputs))
+
+
 def test_partial_rolling_window_at_forecast(spark):
     """With 14 values kept, a 24-row mean takes the 13 before the newest."""
     values = noisy(3, 60)
