@@ -12,7 +12,6 @@ from lagline.operators.series import (
     attach_by_key,
     exact_quantiles,
     long_series,
-    match_keys,
     over_series,
     running_totals,
 )
@@ -128,16 +127,15 @@ def column_distances(
     def rows_in(label: str) -> Column:
         return F.count(F.when(F.col("slice") == label, True))
 
-    counted = settle_table(  # read four times below
+    counted = settle_table(  # read three times below
         present(cells, ["__x"])
         .groupBy(*group, "__x")
         .agg(rows_in("reference").alias("__r"), rows_in("current").alias("__c"))
     )
-    spread = cells.where(F.col("slice") == "reference").groupBy(*group).agg(
-        F.stddev_pop("__x").alias("reference_std")
-    )
     sizes = counted.groupBy(*group).agg(
-        F.sum("__r").alias("n_reference"), F.sum("__c").alias("n_current")
+        F.sum("__r").alias("n_reference"),
+        F.sum("__c").alias("n_current"),
+        F.try_divide(F.sum(F.col("__x") * F.col("__r")), F.sum("__r")).alias("__mean"),
     )
 
     def gap_to_next(rows: DataFrame, window: WindowSpec) -> DataFrame:
@@ -150,15 +148,17 @@ def column_distances(
         F.try_divide(F.col("__fr"), F.col("n_reference"))
         - F.try_divide(F.col("__fc"), F.col("n_current"))
     )
-    distances = (
+    off = F.col("__x") - F.col("__mean")
+    squares = F.sum(off * off * F.col("__r"))
+    return (
         attach_by_key(through, sizes, group)
         .groupBy(*group, "n_reference", "n_current")
         .agg(
             F.max(apart).alias("ks_distance"),
             F.sum(apart * F.coalesce("__gap", F.lit(0.0))).alias("wasserstein"),
+            F.sqrt(F.try_divide(squares, F.col("n_reference"))).alias("reference_std"),
         )
     )
-    return match_keys(distances, spread, group, "left")
 
 
 def column_drift(
