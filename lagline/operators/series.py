@@ -185,11 +185,12 @@ def with_position(
     """One-based position of each row in its series, and the rows in that series."""
     at = F.row_number().over(series_window(key, order)).cast("bigint")
     if not key:
-        total = df.count()
-        if total <= series_row_limit(df.sparkSession):
-            return df.withColumns({position: at, size: F.lit(total).cast("bigint")})
-        numbered = number_rows(df, order, position, total)
-        return numbered.withColumns({position: F.col(position) + 1, size: F.lit(total).cast("bigint")})
+        rows = df.count()
+        total = F.lit(rows).cast("bigint")
+        if rows <= series_row_limit(df.sparkSession):
+            return df.withColumns({position: at, size: total})
+        numbered = number_rows(df, order, position, rows)
+        return numbered.withColumns({position: F.col(position) + 1, size: total})
     longer = long_series(df, key)
     count = F.count(F.lit(1)).over(Window.partitionBy(*key))
     if longer is None:

@@ -70,7 +70,8 @@ def test_forest_metrics(forest):
 
 def one_step(model, spark, features):
     row = spark.createDataFrame([tuple(features.values())], [*features])
-    assembled = VectorAssembler(inputCols=[*map(quoted, model.features)], outputCol="features").transform(row)
+    names = [*map(quoted, model.features)]
+    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(row)
     fitted = model.model.copy()
     fitted.setFeaturesCol("features").setPredictionCol("y")
     return fitted.transform(assembled).first()["y"]
@@ -81,10 +82,9 @@ def test_forest_forecast_step_by_step(spark, table, forest, alignment):
     history = choose_history(table, forest.model, KEY)
     made = forecast_forest(forest.model, history, KEY, 3, "D", alignment)
     assert made.short.count() == 0
-    rows = {
-        s: [r["forecast"] for r in made.rows.where(F.col("station") == s).orderBy("datetime").collect()]
-        for s in "ab"
-    }
+    rows = {"a": [], "b": []}
+    for row in made.rows.orderBy("datetime").collect():
+        rows[row["station"]].append(row["forecast"])
     values = [r["value"] for r in history.where("station = 'a'").orderBy("datetime").collect()]
     last = START + timedelta(days=89)
     for expected_at in range(3):
@@ -236,7 +236,8 @@ def test_saved_models_forecast_the_same(spark, table, tmp_path, kind):
     model = train(table, kind, KEY, **settings).model
     save_model(spark, model, f"{tmp_path}/m")
     again = load_model(spark, f"{tmp_path}/m")
-    rows = [forecast(m, table, KEY, 3).rows.orderBy(*KEY, "datetime").collect() for m in (model, again)]
+    made = [forecast(m, table, KEY, 3).rows for m in (model, again)]
+    rows = [m.orderBy(*KEY, "datetime").collect() for m in made]
     assert rows[0] == rows[1] and len(rows[0]) == 6
 
 
@@ -292,10 +293,8 @@ def test_score_files(spark, table, forest, tmp_path):
 
 def test_long_tails(spark, tiny_tasks):
     table = days(spark, {"a": range(1500), "b": range(5)})
-    assert history_tail(table, KEY, 1200).groupBy("station").count().orderBy("station").collect() == [
-        ("a", 1200),
-        ("b", 5),
-    ]
+    sizes = history_tail(table, KEY, 1200).groupBy("station").count()
+    assert sizes.orderBy("station").collect() == [("a", 1200), ("b", 5)]
     assert history_tail(table, [], 3).agg(F.min("value")).first()[0] == 1497.0
 
 

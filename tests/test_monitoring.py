@@ -107,7 +107,8 @@ def test_test_choice_follows_the_reference_size(spark):
     small = column_drift(labelled, columns=["value"]).first()
     large = column_drift(labelled, columns=["value"], ks_upto_rows=39).first()
     assert (small["method"], large["method"]) == ("ks", "wasserstein")
-    assert large["wasserstein_normed"] == pytest.approx(large["wasserstein"] / np.std([i % 7 for i in range(40)]))
+    std = np.std([i % 7 for i in range(40)])
+    assert large["wasserstein_normed"] == pytest.approx(large["wasserstein"] / std)
 
 
 def test_positions_of_long_series(spark, tiny_tasks):
@@ -128,6 +129,7 @@ def test_running_totals_and_quantiles_of_long_groups(spark, tiny_tasks):
     df = spark.createDataFrame(rows, "g string, v double, n int")
     totals = running_totals(df, ["g"], ["v"], {"upto": "n"}).groupBy("g").agg({"upto": "max"})
     assert {r[0]: r[1] for r in totals.collect()} == {None: 100, "g": 200}
-    found = {r["g"]: r["quantiles"] for r in exact_quantiles(df, ["g"], "v", [0.05, 0.5, 1]).collect()}
+    quantiles = exact_quantiles(df, ["g"], "v", [0.05, 0.5, 1])
+    found = {r["g"]: r["quantiles"] for r in quantiles.collect()}
     np.testing.assert_allclose(found[None], np.quantile(values[:100], [0.05, 0.5, 1]))
     np.testing.assert_allclose(found["g"], np.quantile(values[100:], [0.05, 0.5, 1]))
