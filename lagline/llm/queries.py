@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lagline.llm import bpe, decontamination, personal, toxicity
+from lagline.llm import bpe, decontamination, personal, simhash, toxicity
 from lagline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scorer = toxicity.train(documents, labels, "doc_id", "text")
     return toxicity.score(documents, "doc_id", "text", scorer)
+
+
+@query
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.linked(table(spark, folder, "documents"), "doc_id", "text", 3, 2)
