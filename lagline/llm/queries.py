@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lagline.llm import bpe, decontamination, personal, simhash, toxicity
+from lagline.llm import bpe, decontamination, links, personal, ring, simhash, toxicity
 from lagline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,26 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.linked(table(spark, folder, "documents"), "doc_id", "text", 3, 2)
+
+
+SHARDS = 16
+
+
+@query
+def op4_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return ring.assign(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
+
+
+#: Fixed rules: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query
+def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return links.judge(table(spark, folder, "pages"), "page_id", "url", "html", URL_RULES)
