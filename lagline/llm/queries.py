@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lagline.llm import bpe, decontamination, links, personal, ring, simhash, toxicity
+from lagline.llm import bpe, decontamination, links, personal, rabitq, ring, simhash, toxicity
 from lagline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +79,9 @@ URL_RULES = [
 @query
 def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
     return links.judge(table(spark, folder, "pages"), "page_id", "url", "html", URL_RULES)
+
+
+@query
+def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return rabitq.search(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
