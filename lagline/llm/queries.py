@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagline.llm import bpe, decontamination, links, personal, rabitq, ring, simhash, toxicity
+from lagline.llm import automata, bpe, decontamination, links, personal, rabitq, ring, simhash, toxicity
 from lagline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
 def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return rabitq.search(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return automata.dedup(table(spark, folder, "documents"), "doc_id", "text")
