@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagline.llm import automata, bpe, decontamination, links, personal, rabitq, ring, simhash, toxicity
+from lagline.llm import (
+    automata,
+    bpe,
+    decontamination,
+    links,
+    personal,
+    rabitq,
+    ring,
+    simhash,
+    suffixes,
+    toxicity,
+)
 from lagline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +101,8 @@ def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
     return automata.dedup(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@query
+def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.passages(table(spark, folder, "documents"), "doc_id", "text")
