@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lagline.llm import bpe, decontamination, personal, toxicity
+from lagline.llm import bpe, decontamination, personal, simhash, toxicity
 from lagline.llm.common import settled, table
 
 
@@ -19,6 +19,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return toxicity.accepted(docs, "text", scorer)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near-duplicates (five words, similarity 0.8) one document stays."""
+    return simhash.one_of_each(docs, "doc_id", "text", 5, 0.8)
+
+
 def remove_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Passages of the benchmark are cut out of the texts."""
     items = table(spark, folder, "benchmark")
@@ -38,6 +43,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", remove_benchmark),
     ("personal_data", redact_personal),
     ("byte_bpe", tokenise),

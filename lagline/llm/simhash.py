@@ -18,6 +18,7 @@ Equal fingerprints are compared once. Null or empty texts have the fingerprint z
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import chain, combinations
 
@@ -27,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import map_batches, map_texts, quoted, settled
+from lagline.llm.common import content_key, map_batches, map_texts, quoted, settled
 from lagline.llm.components import components
 
 BITS = 64
 SEED = 42
 TILE = 2048
 BLOCK = 512
+MARGIN = 4
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -52,13 +54,23 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     return np.fromiter((digest(line[a:b], SEED) for a, b in parts), np.uint64, len(begins))
 
 
-def bit_counts(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes have each bit set, lowest bit first."""
-    counts = np.zeros(BITS, np.int64)
-    for first in range(0, len(hashes), 1 << 14):
-        part = hashes[first : first + (1 << 14)]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
+def bit_counts(words: np.ndarray) -> np.ndarray:
+    """How many rows of ``words`` [n, lanes] have each bit set, lowest bit first, by carry-save
+    adders: three rows of one weight become a row of that weight and one of twice the weight."""
+    counts = np.zeros(words.shape[1] * 64, np.int64)
+    weight = 1
+    while len(words):
+        carries = []
+        while len(words) > 2:
+            third = len(words) // 3
+            one, two, three = (words[i * third : (i + 1) * third] for i in range(3))
+            half = one ^ two
+            carries.append((one & two) | (half & three))
+            words = np.concatenate((half ^ three, words[3 * third :]))
+        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+        counts += weight * bits.sum(axis=0, dtype=np.int64)
+        words = np.concatenate(carries) if carries else words[:0]
+        weight *= 2
     return counts
 
 
@@ -66,7 +78,12 @@ def fingerprint(hashes: np.ndarray) -> int:
     """Bits set in over half the hashes, as an unsigned number."""
     if not len(hashes):
         return 0
-    return int(np.packbits(bit_counts(hashes) * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return int(majority(hashes.reshape(-1, 1))[0])
+
+
+def majority(words: np.ndarray) -> np.ndarray:
+    """Bits set in over half the rows of ``words`` [n, lanes], as one row."""
+    return np.packbits(bit_counts(words) * 2 > len(words), bitorder="little").view(np.uint64)
 
 
 def signed(value: int) -> int:
@@ -85,10 +102,12 @@ def fingerprints(documents: DataFrame, id_column: str, text: str, shingle: int)
     return map_texts(rows, "text", [("print", "bigint", pa.int64())], start)
 
 
-def beyond(lanes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
+def beyond(lanes: np.ndarray, queries: np.ndarray, radius: int, own: int) -> np.ndarray:
     """Bits [query, lane word]: set where a lane differs from the query in over ``radius`` bits.
 
-    ``lanes`` and ``queries`` are arrays [n, words of a fingerprint] of unsigned longs.
+    ``lanes`` and ``queries`` are arrays [n, words of a fingerprint] of unsigned longs. Query i
+    stands in lane ``own`` + i and is not compared with itself: its bit is set. Queries that all
+    lanes are beyond are left on the way.
     """
     count, width = lanes.shape
     words = -(-count // 64)
@@ -97,50 +116,75 @@ def beyond(lanes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
     bits = np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little")
     planes = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
     planes = planes.view(np.uint64)
-    own = np.unpackbits(np.ascontiguousarray(queries).view(np.uint8), axis=1, bitorder="little")
-    flips = np.where(own, FULL, np.uint64(0)).T
+    bits = np.unpackbits(np.ascontiguousarray(queries).view(np.uint8), axis=1, bitorder="little")
+    flips = np.where(bits, FULL, np.uint64(0)).T
+    never = np.zeros((len(queries), words * 64), bool)
+    never[:, count:] = True
+    never[np.arange(len(queries)), own + np.arange(len(queries))] = True
+    out = np.packbits(never, axis=1, bitorder="little").view(np.uint64)
     size = radius.bit_length()
     start = (1 << size) - (radius + 1)
+    active = np.arange(len(queries))
+    over = out.copy()
     counters = [
         np.full((len(queries), words), FULL if start >> k & 1 else 0, np.uint64)
         for k in range(size)
     ]
-    over = np.zeros((len(queries), words), np.uint64)
     for plane in range(width * 64):
-        carry = planes[plane][None] ^ flips[plane][:, None]
+        carry = planes[plane][None] ^ flips[plane][active][:, None]
         for k in range(size):
             counters[k], carry = counters[k] ^ carry, counters[k] & carry
         over |= carry
-        if plane % 8 == 7 and (over == FULL).all():
-            break
-    return over
-
-
-def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links (position, position of the first of its group) that join all near fingerprints."""
-    count = len(prints)
+        if plane % 8 == 7:
+            done = (over == FULL).all(axis=1)
+            if done.any():
+                out[active[done]] = FULL
+                active, over = active[~done], over[~done]
+                counters = [c[~done] for c in counters]
+                if not len(active):
+                    return out
+    out[active] = over
+    return out
+
+
+def forest(prints: np.ndarray, radius: int, sieve: int = 0) -> list[tuple[int, int]]:
+    """Links (position, position of the first of its group) that join all near fingerprints.
+
+    Wide fingerprints are first compared by the bits of their first ``sieve`` words, with a
+    radius that has ``MARGIN`` standard errors to spare; what is left is counted in full.
+    """
+    count, width = prints.shape
     if count < 2:
         return []
+    part_width, part_radius = width, radius
+    if sieve:
+        share = radius / (64 * width)
+        part_width = sieve
+        part_radius = math.ceil(
+            64 * sieve * share + MARGIN * math.sqrt(64 * sieve * share * (1 - share))
+        )
     reach = np.zeros((count, -(-count // 64)), np.uint64)
     for first in range(0, count, 256):
-        part = slice(first, first + 256)
-        reach[part] = ~beyond(prints, prints[part], radius)
+        part = prints[first : first + 256, :part_width]
+        reach[first : first + 256] = ~beyond(prints[:, :part_width], part, part_radius, first)
     seen = np.zeros(reach.shape[1] * 64, bool)
-    seen[count:] = True
     bits = reach.view(np.uint8)
-    several = np.flatnonzero(np.bitwise_count(reach).sum(axis=1) > 1)
     links = []
-    for first in several.tolist():
+    for first in np.flatnonzero(reach.any(axis=1)).tolist():
         if seen[first]:
             continue
         seen[first] = True
         queue = [first]
         while queue:
-            row = np.unpackbits(bits[queue.pop()], bitorder="little").astype(bool)
-            fresh = np.flatnonzero(row & ~seen).tolist()
+            at = queue.pop()
+            row = np.unpackbits(bits[at], bitorder="little").astype(bool)
+            fresh = np.flatnonzero(row & ~seen)
+            if sieve and len(fresh):
+                apart = np.bitwise_count(prints[fresh] ^ prints[at]).sum(axis=1)
+                fresh = fresh[apart <= radius]
             seen[fresh] = True
-            links += [(i, first) for i in fresh]
-            queue += fresh
+            links += [(i, first) for i in fresh.tolist()]
+            queue += fresh.tolist()
     return links
 
 
@@ -260,3 +304,110 @@ def linked(documents: DataFrame, id_column: str, text: str, shingle: int, radius
     return rows.join(named, "print", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: Of the similarity stage: words of 64 bits in a fingerprint, of these in the sieve, smallest
+#: hashes in a block key and block keys.
+LANES, SIEVE, ROWS, KEYS = 16, 4, 4, 12
+MIXERS = np.array(
+    [xxhash.xxh64_intdigest(b"mix%d" % i) | 1 for i in range(LANES + ROWS * KEYS)], np.uint64
+)
+
+
+def radius_of(similarity: float, bits: int) -> int:
+    """Differing bits to be expected of two texts of so similar shingle sets (Jaccard), and one
+    standard error."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def wide_print(hashes: np.ndarray) -> tuple[bytes, list[int]]:
+    """A fingerprint of ``LANES`` words from the distinct shingles, and the block keys."""
+    distinct = np.unique(hashes)
+    if not len(distinct):
+        return bytes(8 * LANES), []
+    least = np.full(ROWS * KEYS, FULL)
+    carried = []
+    for first in range(0, len(distinct), 2048):
+        part = distinct[first : first + 2048, None] * MIXERS[None]
+        part ^= part >> np.uint64(32)
+        carried.append(part[:, :LANES] * MIXERS[0])
+        least = np.minimum(least, part[:, LANES:].min(axis=0))
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(KEYS, -1))]
+    return majority(np.concatenate(carried)).tobytes(), [signed(k) for k in keys]
+
+
+def one_of_each(
+    documents: DataFrame, id_column: str, text: str, shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The documents without near-duplicates: of each group the one with the smallest id stays,
+    all columns.
+
+    Texts are alike if their fingerprints of 1,024 bits over sets of ``shingle`` words differ as
+    little as those of texts of that Jaccard similarity do (one standard error is allowed for).
+    Such a radius is too wide for bands of bits, so blocks are formed by smallest hashes of
+    shingles instead: two texts at the limit meet in one of them at 0.998 or more.
+
+    Equal texts are one text, whatever their length. Null ids come last; of rows with one id and
+    one text, one stays. Texts without a word only match equal texts; null counts as empty.
+    """
+    radius = radius_of(similarity, 64 * LANES)
+
+    def start() -> Callable[[list], list]:
+        def work(texts: list) -> list:
+            made = [wide_print(shingle_hashes(t, shingle)) for t in texts]
+            return [[m[0] for m in made], [m[1] for m in made]]
+
+        return work
+
+    ids = F.col(quoted(id_column)).cast("bigint")
+    content = F.col(quoted(text))
+    rows = documents.select(
+        F.coalesce(ids, F.lit((1 << 63) - 1)).alias("at"),
+        content_key(content).alias("key"),
+        content.alias("text"),
+    )
+    fields = [
+        ("print", "binary", pa.binary()),
+        ("blocks", "array<bigint>", pa.list_(pa.int64())),
+    ]
+    survey = settled(map_texts(rows, "text", fields, start))
+    texts = survey.groupBy("key").agg(
+        F.min("at").alias("least"), F.first("print").alias("print"), F.first("blocks").alias("b")
+    )
+    texts = settled(texts)
+    blocked = texts.select("key", F.explode("b").alias("block"))
+    several = blocked.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
+    met = blocked.join(several, "block").join(texts.select("key", "print"), "key")
+    met = tiled(met, "block", "key")
+    met = met.repartition("block", "tile").sortWithinPartitions("block", "tile", "key")
+    met = met.select("block", "tile", "key", "print")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, ["block", "tile"]):
+            keys, at = np.unique(part["key"], return_index=True)
+            prints = np.frombuffer(b"".join(part["print"][at]), np.uint64).reshape(-1, LANES)
+            links = forest(prints, radius, SIEVE)
+            if links:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i[side]] for i in links], pa.binary()) for side in (0, 1)],
+                    ["a", "b"],
+                )
+
+    roots = components(map_batches(met, "a binary, b binary", compare), "a", "b")
+    rooted = texts.select("key", "least").join(roots, F.col("key") == F.col("node"), "left")
+    rooted = rooted.select("key", "least", F.coalesce("root", "key").alias("root"))
+    # The first text of each group, by id and then by content.
+    kept = rooted.groupBy("root").agg(F.min(F.struct("least", "key")).alias("kept"))
+    kept = kept.select(F.col("kept.key").alias("__key"), F.col("kept.least").alias("__least"))
+    again = survey.groupBy("key", "at").agg(F.count("*").alias("__n")).where("__n > 1")
+    again = again.select(F.col("key").alias("__key"), F.col("at").alias("__least"), "__n")
+    kept = settled(kept.join(again, ["__key", "__least"], "left"))
+    columns = [quoted(c) for c in documents.columns]
+    named = documents.withColumns(
+        {"__key": content_key(content), "__least": F.coalesce(ids, F.lit((1 << 63) - 1))}
+    )
+    found = named.join(kept, ["__key", "__least"])
+    once = found.where("__n is null").select(*columns)
+    repeated = found.where("__n is not null").dropDuplicates(["__key", "__least"])
+    return once.union(repeated.select(*columns))
