@@ -32,7 +32,8 @@ from lagline.llm.common import content_key, map_texts, quoted, settled
 #: Upper bound of the item texts behind one broadcast automaton.
 MOST_ITEM_BYTES = 16 << 20
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words of the original text, capitals included.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: UTF-8 bytes: A-Z become a-z, other ASCII bytes outside of words become blanks.
 FOLD = bytes(
     (i | 32 if chr(i).isalpha() else i) if chr(i).isalnum() else 32 for i in range(128)

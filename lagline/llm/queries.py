@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lagline.llm import (
     automata,
@@ -95,7 +94,7 @@ def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
-    return rabitq.search(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+    return rabitq.search(vectors, "vec_id", "embedding", "vec_id % 20 = 0")
 
 
 @query

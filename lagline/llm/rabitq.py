@@ -185,7 +185,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def search(
-    vectors: DataFrame, id_column: str, vector: str, is_query: Column, k: int = 20
+    vectors: DataFrame, id_column: str, vector: str, is_query: Column | str, k: int = 20
 ) -> DataFrame:
     """query_id, rank, vec_id, score for every usable row with ``is_query`` (over ``vec_id``)."""
     result = "query_id bigint, rank int, vec_id bigint, score double"
