@@ -314,6 +314,14 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[begin:]
 
 
+def cleared(text: str, spans: list[Span]) -> str:
+    """The text without the spans and without what the patterns find in what is then left."""
+    while spans:
+        text = redacted(text, spans)
+        spans = base_spans(text)
+    return text
+
+
 def redact(documents: DataFrame, text: str, field: crf.Chain) -> DataFrame:
     """All rows and columns, with personal data replaced in the text; a null text stays null."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
@@ -326,7 +334,7 @@ def redact(documents: DataFrame, text: str, field: crf.Chain) -> DataFrame:
             bases = [base_spans(t) for t in known]
             extra = added_spans(known, bases, own)
             spans = [b + e for b, e in zip(bases, extra, strict=True)]
-            return [[redacted(t, s) if s else t for t, s in zip(texts, spans, strict=True)]]
+            return [[cleared(t, s) if s else t for t, s in zip(texts, spans, strict=True)]]
 
         return work
 

@@ -99,6 +99,9 @@ def test_redaction():
     text = "to a@b.co at 1.2.3.4!"
     assert personal.redacted(text, personal.base_spans(text)) == "to <email> at <ip>!"
     assert personal.redacted("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a<ip>f"
+    text = "953013749 4550997810720808"
+    assert personal.base_spans(text) == []
+    assert personal.cleared(text, [("card", 0, 9)]) == "<card> <card>"
 
 
 def enumerated(scores, steps):
