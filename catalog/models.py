@@ -5,6 +5,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from catalog.registry import (
+    DAILY,
     HOURLY,
     READINGS,
     as_bigint,
@@ -26,7 +27,7 @@ from lagline.plans.forecasting import (
 )
 from lagline.plans.models import Scaling, SequenceModel
 from lagline.plans.scoring import score_rows
-from lagline.plans.training import train_forest, train_seasonal, train_sequence
+from lagline.plans.training import train, train_forest, train_seasonal, train_sequence
 from lagline.session import scratch_path
 from lagline.sources.sinks import write_parquet
 
@@ -56,7 +57,7 @@ def ar_forecast(spark, folder):
     return rounded(made.rows, ["forecast"])
 
 
-@query(f"""WITH {READINGS},
+AR_TRAINING = f"""WITH {READINGS},
   placed AS (
     SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY pollutant) AS n,
            lag(value, 1) OVER w AS l1, lag(value, 2) OVER w AS l2
@@ -84,12 +85,23 @@ def ar_forecast(spark, folder):
          round(sqrt(avg(e * e) FILTER (train)), 5) AS rmse_tr,
          round(avg(e) FILTER (NOT train), 5) AS mae_va,
          round(sqrt(avg(e * e) FILTER (NOT train)), 5) AS rmse_va
-  FROM scored""")
+  FROM scored"""
+
+
+@query(AR_TRAINING)
 def ar_training(spark, folder):
     metrics = train_sequence(readings(spark, folder), KEY, seq_len=2).metrics
     return rounded(metrics, metrics.columns, 5)
 
 
+@query(AR_TRAINING)
+def ar_training_by_station(spark, folder):
+    """The key left out: the station column."""
+    named = readings(spark, folder).drop("station_id")
+    metrics = train(named.withColumnRenamed("pollutant", "station"), "lstm", seq_len=2).metrics
+    return rounded(metrics, metrics.columns, 5)
+
+
 @query()
 def ar_training_30(spark, folder):
     return train_sequence(readings(spark, folder), KEY).metrics
@@ -119,28 +131,54 @@ def forest_metrics(spark, folder):
     return train_forest(daily_features(daily(spark, folder), key=KEY), KEY).metrics
 
 
-@query()
+def _bounds(made, frame):
+    """Rows and times per series, and whether all forecasts are inside the targets' range."""
+    low, high = frame.agg(F.min("target"), F.max("target")).first()
+    inside = F.col("forecast").between(low - 1e-9, high + 1e-9)
+    return made.groupBy("pollutant").agg(
+        F.count("forecast").alias("n_rows"),
+        F.min("datetime").alias("first_time"),
+        F.max("datetime").alias("last_time"),
+        F.bool_and(inside).alias("inside"),
+    )
+
+
+@query(f"""WITH {DAILY}
+  SELECT pollutant, CAST(7 AS BIGINT) AS n_rows, max(datetime) + INTERVAL 1 DAY AS first_time,
+         max(datetime) + INTERVAL 7 DAY AS last_time, true AS inside
+  FROM daily GROUP BY 1""")
 def forest_forecast(spark, folder):
     days = daily(spark, folder)
-    model = train_forest(daily_features(days, key=KEY), KEY, trees=50).model
-    return forecast_forest(model, choose_history(days, model, KEY), KEY, 7).rows
+    table = daily_features(days, key=KEY)
+    model = train_forest(table, KEY, trees=50).model
+    made = forecast_forest(model, choose_history(days, model, KEY), KEY, 7).rows
+    return _bounds(made, table.frame)
 
 
-@query()
+@query(f"""WITH {HOURLY}
+  SELECT pollutant, CAST(24 AS BIGINT) AS n_rows, max(datetime) + INTERVAL 1 HOUR AS first_time,
+         max(datetime) + INTERVAL 24 HOUR AS last_time, true AS inside
+  FROM hourly GROUP BY 1""")
 def forest_forecast_hourly(spark, folder):
     hours = hourly(spark, folder)
     table = hourly_features(hours, key=KEY)
     model = train_forest(table, KEY, trees=20, depth=8).model
-    history = choose_history(hours, model, KEY, "H")
-    return forecast_forest(model, history, KEY, 24, "H", "consistent").rows
+    history = choose_history(hours, model, KEY, "H", alignment="consistent")
+    made = forecast_forest(model, history, KEY, 24, "H", "consistent").rows
+    return _bounds(made, table.frame)
 
 
-@query()
+@query(f"""WITH {HOURLY},
+  placed AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY pollutant) AS n
+             FROM hourly WINDOW w AS (PARTITION BY pollutant ORDER BY datetime))
+  SELECT pollutant, count(*) AS n_rows, min(datetime) AS first_time, max(datetime) AS last_time,
+         true AS inside
+  FROM placed WHERE pos > 24 AND pos < n GROUP BY 1""")
 def batch_scoring(spark, folder):
     table = hourly_features(hourly(spark, folder), key=KEY)
     forest = train_forest(table, KEY, trees=20, depth=8).model
     scored = score_rows(table.frame, forest.model, forest.features)
-    return scored.select("pollutant", "datetime", "forecast")
+    return _bounds(scored.select("pollutant", "datetime", "forecast"), table.frame)
 
 
 @query(f"""WITH {HOURLY},
@@ -166,17 +204,44 @@ def batch_scoring_line(spark, folder):
     return rounded(scored.select("pollutant", "datetime", "forecast"), ["forecast"])
 
 
-@query()
-def daily_run(spark, folder):
-    """One row per stage: rows written or compared, and the error it reports."""
-    days = scratch_path(spark, "days")
-    write_parquet(daily(spark, folder), days)
-    run = run_daily(spark, [days], scratch_path(spark, "daily"), "lstm", key=KEY, seq_len=7)
-    stages = {
+def _stages(spark, run):
+    counts = {
         "train": run.trained.scored.agg(F.count(F.lit(1))).first()[0],
         "forecast": run.forecast.count(),
         "monitor": run.report.summary.agg(F.coalesce(F.sum("n_points"), F.lit(0))).first()[0],
     }
-    return as_bigint(
-        spark.createDataFrame(list(stages.items()), "stage string, n_rows long"), ["n_rows"]
-    )
+    rows = spark.createDataFrame(list(counts.items()), "stage string, n_rows long")
+    return as_bigint(rows, ["n_rows"])
+
+
+@query(f"""WITH {DAILY}, sizes AS (SELECT count(*) AS n FROM daily GROUP BY pollutant)
+  SELECT 'train' AS stage, CAST(sum(greatest(n - 7, 0)) AS BIGINT) AS n_rows FROM sizes
+  UNION ALL SELECT 'forecast', CAST(count(*) * 30 AS BIGINT) FROM sizes WHERE n >= 7
+  UNION ALL SELECT 'monitor', CAST(0 AS BIGINT)""")
+def daily_run(spark, folder):
+    """One row per stage: rows written or compared."""
+    days = scratch_path(spark, "days")
+    write_parquet(daily(spark, folder), days)
+    run = run_daily(spark, [days], scratch_path(spark, "daily"), "lstm", key=KEY, seq_len=7)
+    return _stages(spark, run)
+
+
+@query(f"""WITH {DAILY}, edge AS (SELECT max(datetime) - INTERVAL 5 DAY AS cut FROM daily),
+  early AS (SELECT daily.* FROM daily, edge WHERE datetime <= cut),
+  sizes AS (SELECT pollutant, count(*) AS n, max(datetime) AS last FROM early GROUP BY 1)
+  SELECT 'train' AS stage, CAST(sum(greatest(n - 7, 0)) AS BIGINT) AS n_rows FROM sizes
+  UNION ALL SELECT 'forecast', CAST(count(*) * 5 AS BIGINT) FROM sizes WHERE n >= 7
+  UNION ALL SELECT 'monitor', count(*) FROM daily JOIN sizes USING (pollutant)
+    WHERE n >= 7 AND datetime > last AND datetime <= last + INTERVAL 5 DAY""")
+def daily_backtest(spark, folder):
+    """Train on the earlier days, forecast, and monitor on the days held back; no key given."""
+    days = daily(spark, folder).withColumnRenamed("pollutant", "station")
+    cut = days.agg(F.max("datetime") - F.expr("INTERVAL 5 DAYS")).first()[0]
+    paths = [scratch_path(spark, "early"), scratch_path(spark, "all")]
+    write_parquet(days.where(F.col("datetime") <= F.lit(cut)), paths[0])
+    write_parquet(days, paths[1])
+    run = run_daily(
+        spark, paths[:1], scratch_path(spark, "backtest"), "lstm", horizon=5,
+        truth_paths=paths[1:], seq_len=7,
+    )
+    return _stages(spark, run)

@@ -1,5 +1,7 @@
 """Splits, metrics, drift and alerts."""
 
+from pyspark.sql import functions as F
+
 from catalog.registry import (
     DAILY,
     LABELLED,
@@ -35,7 +37,7 @@ ORDER = ["datetime", "value", "forecast"]
 DAILY_PAIRS = f"{DAILY}, {naive('daily')}"
 READING_PAIRS = f"{READINGS}, {naive('readings')}"
 
-DISTANCES = """cells AS (
+DECISIONS = """cells AS (
     SELECT pollutant, slice, 'value' AS "column", value AS x FROM labelled UNION ALL
     SELECT pollutant, slice, 'forecast', forecast FROM labelled),
   spread AS (SELECT pollutant, "column", stddev_pop(x) AS std FROM cells
@@ -62,12 +64,15 @@ DISTANCES = """cells AS (
              range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END
                * exp(-2.0 * k * k * scaled * scaled))), 1.0), 0.0) END AS ks_p_value,
            wasserstein, wasserstein / std AS wasserstein_normed,
-           CASE WHEN n_reference <= 1000 THEN 'ks' ELSE 'wasserstein' END AS method
+           'METHOD' AS method
     FROM tested),
   decided AS (
     SELECT *, CASE WHEN method = 'ks' THEN ks_p_value < 0.05
               ELSE wasserstein_normed >= 0.1 END AS drifted FROM drift)"""
 
+DISTANCES = DECISIONS.replace("METHOD", "ks")
+MOVED = DECISIONS.replace("METHOD", "wasserstein")
+
 ROUNDED_DRIFT = """SELECT pollutant, "column", n_reference, n_current,
          round(ks_distance, 6) AS ks_distance, round(ks_p_value, 6) AS ks_p_value,
          round(wasserstein, 6) AS wasserstein,
@@ -221,20 +226,33 @@ def top_errors(spark, folder):
     return rounded(found, ["mean_error", "mean_value", "mean_forecast"])
 
 
-def _rounded_drift(labelled):
+def _rounded_drift(labelled, method):
     names = ["ks_distance", "ks_p_value", "wasserstein", "wasserstein_normed"]
-    return rounded(column_drift(labelled, KEY), names)
+    return rounded(column_drift(labelled, KEY, method=method), names)
+
+
+def _labelled_days(spark, folder):
+    return recent_split(naive_forecast(daily(spark, folder)), ORDER, KEY)
 
 
 @query(f"WITH {DAILY_PAIRS}, {LABELLED}, {DISTANCES} {ROUNDED_DRIFT}")
 def ks_drift(spark, folder):
-    pairs = naive_forecast(daily(spark, folder))
-    return _rounded_drift(recent_split(pairs, ORDER, KEY))
+    return _rounded_drift(_labelled_days(spark, folder), "ks")
 
 
 @query(f"WITH {READING_PAIRS}, {LABELLED}, {DISTANCES} {ROUNDED_DRIFT}")
+def ks_drift_readings(spark, folder):
+    return _rounded_drift(_labelled(spark, folder), "ks")
+
+
+@query(f"WITH {READING_PAIRS}, {LABELLED}, {MOVED} {ROUNDED_DRIFT}")
 def wasserstein_drift(spark, folder):
-    return _rounded_drift(_labelled(spark, folder))
+    return _rounded_drift(_labelled(spark, folder), "wasserstein")
+
+
+@query(f"WITH {DAILY_PAIRS}, {LABELLED}, {MOVED} {ROUNDED_DRIFT}")
+def wasserstein_drift_days(spark, folder):
+    return _rounded_drift(_labelled_days(spark, folder), "wasserstein")
 
 
 @query(f"""WITH {READING_PAIRS}, {LABELLED}, {DISTANCES}
@@ -245,7 +263,7 @@ def dataset_drift(spark, folder):
     return drift_flag(column_drift(_labelled(spark, folder), KEY), KEY)
 
 
-@query(f"""WITH {DAILY_PAIRS}, {LABELLED}, {DISTANCES},
+ALERT = f"""WITH {DAILY_PAIRS}, {LABELLED}, {DISTANCES},
   flags AS (SELECT pollutant, avg(CAST(drifted AS DOUBLE)) >= 0.5 AS dataset_drift
             FROM decided GROUP BY 1),
   errors AS (
@@ -257,8 +275,33 @@ def dataset_drift(spark, folder):
   SELECT pollutant, n_points, round(mae, 9) AS mae, round(rmse, 9) AS rmse,
          round(drift_score, 9) AS drift_score, dataset_drift,
          mae > 15 OR drift_score > 10 OR dataset_drift AS alert
-  FROM errors JOIN flags USING (pollutant)""")
+  FROM errors JOIN flags USING (pollutant)"""
+
+
+@query(ALERT)
 def alert(spark, folder):
     truth = daily(spark, folder)
     report = monitor(truth, naive_forecast(truth).drop("value"), KEY)
     return rounded(report.summary, ["mae", "rmse", "drift_score"], 9)
+
+
+@query(ALERT.replace("SELECT pollutant, n_points", "SELECT pollutant AS station, n_points"))
+def alert_by_station(spark, folder):
+    """The key left out: the station column that both tables have."""
+    truth = daily(spark, folder)
+    forecasts = naive_forecast(truth).drop("value")
+    named = [t.withColumnRenamed("pollutant", "station") for t in (truth, forecasts)]
+    return rounded(monitor(*named).summary, ["mae", "rmse", "drift_score"], 9)
+
+
+@query(f"""WITH {DAILY}
+  SELECT pollutant, CAST(0 AS BIGINT) AS n_points, CAST(NULL AS DOUBLE) AS mae,
+         CAST(NULL AS DOUBLE) AS rmse, 0.0::DOUBLE AS drift_score, false AS dataset_drift,
+         false AS alert
+  FROM daily GROUP BY 1""")
+def alert_without_overlap(spark, folder):
+    """Forecasts of later times only: every series is reported, without points."""
+    truth = daily(spark, folder)
+    later = F.col("datetime") + F.expr("INTERVAL 1000 DAYS")
+    forecasts = naive_forecast(truth).drop("value").withColumn("datetime", later)
+    return monitor(truth, forecasts, KEY).summary

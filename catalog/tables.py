@@ -15,6 +15,7 @@ from catalog.registry import (
     rounded,
     table,
 )
+from lagline.functions.clean import with_times
 from lagline.operators.filters import (
     by_history_length,
     history_tail as newest_rows,
@@ -26,7 +27,7 @@ from lagline.operators.metrics import regression_metrics
 from lagline.operators.reshape import station_names, wide_to_long
 from lagline.plans.features import featurise_files
 from lagline.session import scratch_path
-from lagline.sources.columns import measure_counts
+from lagline.sources.columns import measure_candidates, measure_counts
 from lagline.sources.sinks import log_run, read_runs, write_json_records, write_parquet
 from lagline.sources.tables import (
     land_csv,
@@ -39,7 +40,7 @@ from lagline.sources.tables import (
 )
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-SAMPLE_KINDS = ["click", "error", "purchase", "signup", "view"]
+DATED = ("date", "timestamp")
 
 
 @query("SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier")
@@ -95,21 +96,26 @@ def truth_source(spark, folder):
          value
   FROM hourly""")
 def hourly_load(spark, folder):
-    wide = hourly(spark, folder).groupBy("datetime").pivot("pollutant", SAMPLE_KINDS)
+    hours = hourly(spark, folder)
+    kinds = [r[0] for r in hours.select("pollutant").distinct().orderBy("pollutant").collect()]
+    wide = hours.groupBy("datetime").pivot("pollutant", kinds)
     named = wide.agg(F.first("value")).withColumnsRenamed(
         {"datetime": "reading_time", "click": "pm2,5"}
     )
     return load_hourly(named.withColumn("site", F.lit("7")))
 
 
-@query("""SELECT count(l_orderkey) AS l_orderkey, count(l_quantity) AS l_quantity,
+@query("""SELECT count(l_orderkey) AS l_orderkey, count(l_partkey) AS l_partkey,
+         count(l_suppkey) AS l_suppkey, count(l_linenumber) AS l_linenumber,
+         count(l_quantity) AS l_quantity, count(l_extendedprice) AS l_extendedprice,
+         count(l_discount) AS l_discount, count(l_tax) AS l_tax,
          count(TRY_CAST(l_returnflag AS DOUBLE)) AS l_returnflag,
-         count(TRY_CAST(l_linestatus AS DOUBLE)) AS l_linestatus,
-         count(l_tax) AS l_tax
+         count(TRY_CAST(l_linestatus AS DOUBLE)) AS l_linestatus
   FROM lineitem""")
 def detect_measures(spark, folder):
-    names = ["l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_tax"]
-    return measure_counts(table(spark, folder, "lineitem"), names)
+    items = table(spark, folder, "lineitem")
+    times = [f.name for f in items.schema.fields if f.dataType.typeName().startswith(DATED)]
+    return measure_counts(items, measure_candidates(items, times))
 
 
 @query(f"WITH {READINGS} SELECT * FROM readings WHERE pollutant = 'click'")
@@ -174,23 +180,20 @@ def parquet_sink(spark, folder):
 
 
 @query(f"""WITH {HOURLY}, {naive('hourly')}
-  SELECT pollutant, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, forecast FROM pairs""")
+  SELECT pollutant, strftime(datetime, '%Y-%m-%d %H:%M:%S+00:00') AS datetime, forecast
+  FROM pairs""")
 def json_records(spark, folder):
     rows = naive_forecast(hourly(spark, folder)).drop("value")
     path = write_json_records(rows, scratch_path(spark, "records"))
     return spark.read.schema("pollutant string, datetime string, forecast double").json(path)
 
 
-@query("""SELECT o_orderkey, o_orderdate, o_orderpriority, o_totalprice FROM orders""")
+@query("SELECT * FROM orders")
 def csv_landing(spark, folder):
-    columns = ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"]
+    orders = table(spark, folder, "orders")
     raw = scratch_path(spark, "raw")
-    table(spark, folder, "orders").select(columns).write.csv(raw, header=True)
-    schema = (
-        "o_orderkey bigint, o_orderdate timestamp_ntz, o_orderpriority string, "
-        "o_totalprice double"
-    )
-    return land_csv(spark, raw, scratch_path(spark, "landed"), schema)
+    orders.write.csv(raw, header=True)
+    return land_csv(spark, raw, scratch_path(spark, "landed"), orders.schema)
 
 
 @query(f"""WITH {HOURLY}, {naive('hourly')}
@@ -238,3 +241,37 @@ def featurise_two_files(spark, folder):
     built = featurise_files(spark, paths, out, "SITE (click|view)", "NO2")
     sums = [F.round(F.sum(c), 4).alias(c) for c in ("lag_1", "lag_24", "target")]
     return built.frame.groupBy("station_name").agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
+LAYOUTS = {
+    "iso": ("yyyy-MM-dd'T'HH:mm:ss", ""),
+    "iso_z": ("yyyy-MM-dd'T'HH:mm:ss", "Z"),
+    "hours_ahead": ("yyyy-MM-dd HH:mm:ss", "+04"),
+    "hours_behind": ("yyyy-MM-dd HH:mm:ss", "-0330"),
+    "with_colon": ("yyyy-MM-dd HH:mm:ss", " +04:00"),
+    "slashes": ("yyyy/MM/dd HH:mm:ss", "+00"),
+    "month_first": ("MM/dd/yyyy HH:mm", " utc"),
+    "compact": ("yyyyMMdd", ""),
+    "unknown_zone": ("yyyy-MM-dd HH:mm:ss", " EST"),
+    "zone_on_a_date": ("yyyy-MM-dd", "+04"),
+}
+
+
+@query("""SELECT event_id, date_trunc('second', ts) AS iso, date_trunc('second', ts) AS iso_z,
+         date_trunc('second', ts) - INTERVAL 4 HOUR AS hours_ahead,
+         date_trunc('second', ts) + INTERVAL 210 MINUTE AS hours_behind,
+         date_trunc('second', ts) - INTERVAL 4 HOUR AS with_colon,
+         date_trunc('second', ts) AS slashes, date_trunc('minute', ts) AS month_first,
+         CAST(CAST(ts AS DATE) AS TIMESTAMP) AS compact,
+         CAST(NULL AS TIMESTAMP) AS unknown_zone, CAST(NULL AS TIMESTAMP) AS zone_on_a_date
+  FROM events""")
+def parse_times(spark, folder):
+    """Times written in each layout and read again."""
+    texts = table(spark, folder, "events").select(
+        "event_id",
+        *[
+            F.concat(F.date_format("ts", layout), F.lit(zone)).alias(name)
+            for name, (layout, zone) in LAYOUTS.items()
+        ],
+    )
+    return with_times(texts, LAYOUTS)

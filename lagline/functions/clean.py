@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Patterns and replacements that must be as they are for right results.
-ZONE_SUFFIX = r"([zZ]|UTC|GMT|[+-]\d{2}:?\d{2})$"
+# A date as year-month-day with - or /, as eight digits, as month/day/year (day first if the
+# first number cannot be a month), as year-month or as year; then, if wanted, a clock, and after
+# a clock only, a zone.
+TIME_TEXT = (
+    r"^(?:(\d{4})[-/](\d{1,2})[-/](\d{1,2})|(\d{4})(\d{2})(\d{2})|(\d{1,2})/(\d{1,2})/(\d{4})"
+    r"|(\d{4})(?:-(\d{1,2}))?)"
+    r"(?:(?:[tT]|\s+)(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)"
+    r"\s*(?:[zZ]|(?i:UTC|GMT)|([+-]\d{2})(?::?(\d{2}))?)?)?$"
+)
+BLANK_ENDS = r"^\s+|\s+$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITE = r"^[+-]?(?i:inf|infinity)$"
 LABEL_REPLACEMENTS = {"PM2,5": "PM2.5", "pm2,5": "PM2.5"}
@@ -48,17 +57,16 @@ def epoch_micros(time: Column) -> Column:
 def parse_time(column: Column, kind: T.DataType) -> Column:
     """Any time-like column to UTC wall clock; what cannot be read becomes null.
 
-    Text without a zone is taken as UTC, numbers as nanoseconds since 1970.
+    Text is read in the layouts of ``TIME_TEXT``; anything else, such as an unknown zone,
+    becomes null (see :func:`unread_times`). Text without a zone is taken as UTC, numbers
+    as nanoseconds since 1970.
     """
     if isinstance(kind, T.TimestampNTZType):
         return column
     if isinstance(kind, T.TimestampType):
         return instant_to_utc(column)
     if isinstance(kind, T.StringType):
-        text = F.trim(column)
-        return F.when(
-            text.rlike(ZONE_SUFFIX), instant_to_utc(text.try_cast("timestamp"))
-        ).otherwise(text.try_cast("timestamp_ntz"))
+        return parse_time_text(F.regexp_replace(column, BLANK_ENDS, ""))
     if isinstance(kind, T.DateType):
         return column.cast("timestamp_ntz")
     if isinstance(kind, T.NumericType):
@@ -67,10 +75,46 @@ def parse_time(column: Column, kind: T.DataType) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
+def parse_time_text(text: Column) -> Column:
+    """Text without blanks around it to UTC wall clock."""
+
+    def part(number: int) -> Column:
+        found = F.regexp_extract(text, TIME_TEXT, number)
+        return F.when(found != "", found)
+
+    first, second = part(7), part(8)
+    day_first = first.cast("int") > 12
+    year = F.coalesce(part(1), part(4), part(9), part(10))
+    month = F.coalesce(
+        part(2), part(5), F.when(day_first, second).otherwise(first), part(11), F.lit("1")
+    )
+    day = F.coalesce(part(3), part(6), F.when(day_first, first).otherwise(second), F.lit("1"))
+    clock = F.coalesce(part(12), F.lit("00:00"))
+    local = F.concat_ws(" ", F.concat_ws("-", year, month, day), clock)
+    hours = F.coalesce(part(13).cast("int"), F.lit(0))
+    minutes = F.coalesce(part(14).cast("int"), F.lit(0))
+    ahead = hours * 60 + F.when(part(13).startswith("-"), -minutes).otherwise(minutes)
+    offset = F.make_dt_interval(F.lit(0), F.lit(0), ahead)
+    return F.when(text.rlike(TIME_TEXT), local.try_cast("timestamp_ntz") - offset)
+
+
+def unread_times(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """One row: how many cells of each column hold something that is not read as a time."""
+    return df.agg(
+        *[
+            F.count_if(
+                F.col(quoted(n)).isNotNull()
+                & parse_time(F.col(quoted(n)), df.schema[n].dataType).isNull()
+            ).alias(n)
+            for n in names
+        ]
+    )
+
+
 def parse_number(column: Column, kind: T.DataType) -> Column:
     """Any column to double; what is not a number becomes null."""
     if isinstance(kind, T.StringType):
-        text = F.trim(column)
+        text = F.regexp_replace(column, BLANK_ENDS, "")
         usable = text.rlike(NUMBER) | text.rlike(INFINITE)
         return F.when(usable, text.try_cast("double"))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
@@ -116,7 +160,7 @@ def standard_rows(df: DataFrame, time: str = "datetime", value: str = "value") -
 
 def normal_label(label: Column) -> Column:
     """Trimmed, upper-case label with the decimal comma repaired."""
-    text = F.regexp_replace(label.cast("string"), r"^\s+|\s+$", "")
+    text = F.regexp_replace(label.cast("string"), BLANK_ENDS, "")
     for old, new in LABEL_REPLACEMENTS.items():
         text = F.replace(text, F.lit(old), F.lit(new))
     return F.upper(text)

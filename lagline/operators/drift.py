@@ -20,7 +20,7 @@ from lagline.session import settle_table
 # Our own settings: the drift test and its limits are parameters with these defaults.
 KS_P_VALUE = 0.05
 WASSERSTEIN_LIMIT = 0.1
-KS_UPTO_ROWS = 1_000
+METHOD = "ks"
 DRIFT_SHARE = 0.5
 TAIL_SHARE = 0.05
 HISTOGRAM_BINS = 10
@@ -167,20 +167,22 @@ def column_drift(
     columns: Sequence[str] = ("value", "forecast"),
     p_value: float = KS_P_VALUE,
     wasserstein_limit: float = WASSERSTEIN_LIMIT,
-    ks_upto_rows: int = KS_UPTO_ROWS,
+    method: str = METHOD,
 ) -> DataFrame:
-    """Drift decision per column.
+    """Drift decision per column, whatever the number of rows.
 
-    Kolmogorov-Smirnov decides for small references, the Wasserstein distance over the
-    reference's standard deviation for larger ones. A slice without rows never drifts.
+    ``method`` is ``ks`` (Kolmogorov-Smirnov, by its p-value) or ``wasserstein`` (distance
+    over the reference's standard deviation); both statistics are returned. A slice without
+    rows never drifts.
     """
+    if method not in ("ks", "wasserstein"):
+        raise ValueError(f"method must be ks or wasserstein, got {method!r}")
     distances = column_distances(labelled, key, columns)
-    small = F.col("n_reference") <= ks_upto_rows
     n, m = F.col("n_reference"), F.col("n_current")
     both = (n > 0) & (m > 0)
     p = F.when(both, ks_p_value(F.col("ks_distance"), n, m))
     normed = F.try_divide(F.col("wasserstein"), F.col("reference_std"))
-    drifted = F.when(small, p < p_value).otherwise(normed >= wasserstein_limit)
+    drifted = p < p_value if method == "ks" else normed >= wasserstein_limit
     return distances.select(
         *key,
         "column",
@@ -190,7 +192,7 @@ def column_drift(
         p.alias("ks_p_value"),
         "wasserstein",
         normed.alias("wasserstein_normed"),
-        F.when(small, "ks").otherwise("wasserstein").alias("method"),
+        F.lit(method).alias("method"),
         F.coalesce(drifted, F.lit(False)).alias("drifted"),
     )
 

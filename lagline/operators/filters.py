@@ -29,8 +29,9 @@ def only_normal_pollutant(df: DataFrame, pollutant: str) -> DataFrame:
 
 
 def matching_text(df: DataFrame, column: str, pattern: str) -> DataFrame:
-    """Rows whose text contains the pattern in any case; null never matches."""
-    found = F.col(column).cast("string").rlike(f"(?i){pattern}")
+    """Rows whose text contains the pattern in any case, accented letters included; null
+    never matches."""
+    found = F.col(column).cast("string").rlike(f"(?iu){pattern}")
     return df.where(F.coalesce(found, F.lit(False)))
 
 

@@ -29,8 +29,18 @@ def time_grid(df: DataFrame) -> DataFrame:
     return df.select("datetime").distinct()
 
 
-def align(truth: DataFrame, forecasts: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Observed and forecast values of the same series and time."""
+def align(
+    truth: DataFrame, forecasts: DataFrame, key: Sequence[str] = (), repeats: bool = False
+) -> DataFrame:
+    """Observed and forecast values of the same series and time.
+
+    Without a key a time must not occur twice on a side, as with several stations every
+    value would meet every forecast; ``repeats`` allows it.
+    """
     on = [*key, "datetime"]
+    if not key and not repeats:
+        for side in (truth, forecasts):
+            if not side.groupBy("datetime").count().where("count > 1").isEmpty():
+                raise ValueError("times repeat: name the key of the series")
     pairs = truth.select(*on, "value").join(forecasts.select(*on, "forecast"), on, "inner")
     return present(pairs, ["value", "forecast"])

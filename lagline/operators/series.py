@@ -40,12 +40,20 @@ def series_window(key: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*key).orderBy(*order)
 
 
-def long_series(df: DataFrame, key: Sequence[str]) -> LongSeries | None:
-    """The series with more rows than one task may sort, or None when there are none.
+#: Most rows of a group whose values one aggregation buffer may hold.
+QUANTILE_ROWS = 20_000
+
+
+def long_series(
+    df: DataFrame, key: Sequence[str], most: int | None = None
+) -> LongSeries | None:
+    """The series with more rows than one task may sort (or than ``most``, if that is less),
+    or None when there are none.
 
     One count per key with map-side combine; at most ``rows / limit`` keys are found.
     """
     limit = series_row_limit(df.sparkSession)
+    limit = limit if most is None else min(limit, most)
     if not key:
         rows = df.count()
         return LongSeries(df.limit(0), rows) if rows > limit else None
@@ -260,12 +268,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, exact at any group size.
 
-    Groups that fit in one task use the built-in aggregate, which holds a group's
-    distinct values in memory; larger ones go through :func:`quantiles_of_counts`.
+    Groups of up to ``QUANTILE_ROWS`` rows use the built-in aggregate, which holds a
+    group's distinct values in memory; larger ones go through :func:`quantiles_of_counts`.
     """
     rows = present(df.select(*group, value), [value])
     at_once = F.percentile(value, F.array(*map(F.lit, probabilities))).alias(name)
-    longer = long_series(rows, group)
+    longer = long_series(rows, group, QUANTILE_ROWS)
     if longer is None:
         return rows.groupBy(*group).agg(at_once)
     short, long = set_apart(rows, group, longer)
@@ -286,7 +294,7 @@ def quantiles_of_counts(
     Groups with many distinct values look up the values at the wanted ranks in running
     counts instead of gathering the group.
     """
-    longer = long_series(counts, group)
+    longer = long_series(counts, group, QUANTILE_ROWS)
     if longer is None:
         wanted = F.array(*map(F.lit, probabilities))
         return counts.groupBy(*group).agg(

@@ -32,14 +32,20 @@ def holdout(
 
 
 def recent_split(
-    df: DataFrame, order: Sequence[str], key: Sequence[str] = (), name: str = "slice"
+    df: DataFrame,
+    order: Sequence[str],
+    key: Sequence[str] = (),
+    name: str = "slice",
+    recent_rows: int = RECENT_ROWS,
+    halves_upto: int = HALVES_UPTO,
 ) -> DataFrame:
     """Label the recent rows of each series ``current`` and the earlier ``reference``.
 
-    Up to 60 rows are halved; beyond that the last 30 are current.
+    Series of up to ``halves_upto`` rows are halved; of longer ones the last
+    ``recent_rows`` are current.
     """
     rows = with_position(df, key, order, "__position", "__size")
     size = F.col("__size")
-    earlier = F.when(size <= HALVES_UPTO, F.floor(size / 2)).otherwise(size - RECENT_ROWS)
+    earlier = F.when(size <= halves_upto, F.floor(size / 2)).otherwise(size - recent_rows)
     label = F.when(F.col("__position") <= earlier, "reference").otherwise("current")
     return rows.withColumn(name, label).drop("__position", "__size")

@@ -83,9 +83,22 @@ def is_daily(
     time: str = "datetime",
     longer: Known = UNKNOWN,
 ) -> bool:
-    """Whether readings come a day or more apart; hourly when that is undefined."""
-    gap = median_gap(df, key, time, longer).first()[0]
-    return gap is not None and gap >= DAY_SECONDS
+    """Whether the median gap is a day or more; hourly when that is undefined.
+
+    Counts on either side of a day decide; only with as many on both is the median the mean
+    of the two gaps in the middle, the largest below and the least from a day on.
+    """
+    gap = F.col("gap_seconds")
+    far = gap >= DAY_SECONDS
+    row = time_gaps(df, key, time, longer).agg(
+        F.count(gap).alias("gaps"),
+        F.count_if(far).alias("far"),
+        F.max(F.when(~far, gap)).alias("below"),
+        F.min(F.when(far, gap)).alias("above"),
+    ).first()
+    if row.gaps == 0 or row.far * 2 != row.gaps:
+        return row.far * 2 > row.gaps
+    return row.below + row.above >= 2 * DAY_SECONDS
 
 
 def sequences(

@@ -12,7 +12,13 @@ from lagline.plans.models import SeasonalModel, load_model, save_model
 from lagline.plans.monitoring import Report, run_monitoring
 from lagline.plans.training import Trained, train
 from lagline.sources.sinks import log_run
-from lagline.sources.tables import load_predictions, load_training, load_truth, read_tables
+from lagline.sources.tables import (
+    default_paths,
+    load_predictions,
+    load_training,
+    load_truth,
+    read_tables,
+)
 
 # Fixed value: days forecast by the daily sequence.
 DAILY_HORIZON = 30
@@ -26,14 +32,19 @@ class DailyRun(NamedTuple):
 
 def train_files(
     spark: SparkSession,
-    paths: Sequence[str],
+    paths: Sequence[str] | None,
     model: str,
     out: str,
     log: str,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
+    folder: str = ".",
     **settings: object,
 ) -> Trained:
-    """Read the daily tables, train, keep the model below ``out`` and log the run."""
+    """Read the daily tables, train, keep the model below ``out`` and log the run.
+
+    Without paths the usual files in ``folder`` are read.
+    """
+    paths = default_paths(folder, "D") if paths is None else paths
     trained = train(load_training(read_tables(spark, paths)), model, key, **settings)
     save_model(spark, trained.model, out)
     params = {"model": model, **settings}
@@ -50,11 +61,17 @@ def daily_run(
     model: str = "rf",
     freq: str = "D",
     horizon: int = DAILY_HORIZON,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     history_window: int = HISTORY_WINDOW,
+    alignment: str = "reference",
+    truth_paths: Sequence[str] | None = None,
     **settings: object,
 ) -> DailyRun:
-    """Train, forecast and monitor; each stage reads what the one before has written."""
+    """Train, forecast and monitor; each stage reads what the one before has written.
+
+    Forecasts are compared with the tables they come from, whose times they follow, unless
+    ``truth_paths`` names tables that hold the later times.
+    """
     log = f"{out}/runs"
     trained = train_files(spark, paths, model, f"{out}/model", log, key, **settings)
     made = forecast_files(
@@ -67,10 +84,11 @@ def daily_run(
         horizon=horizon,
         freq=freq,
         history_window=history_window,
+        alignment=alignment,
     )
     report = run_monitoring(
         spark,
-        load_truth(read_tables(spark, paths), key),
+        load_truth(read_tables(spark, paths if truth_paths is None else truth_paths), key),
         load_predictions(spark.read.parquet(f"{out}/predictions/forecast")),
         log,
         model,

@@ -13,6 +13,7 @@ from lagline.operators.filters import matching_text, only_pollutant
 from lagline.operators.joins import attach_weather
 from lagline.operators.series import long_series
 from lagline.operators.windows import is_daily, window_features
+from lagline.session import settle_table
 from lagline.sources import names
 from lagline.sources.columns import (
     daily_value_column,
@@ -65,6 +66,8 @@ def hourly_features(
     x = attach_weather(x, weather)
     longer = long_series(x, key)
     if daily is None:
+        if weather is not None:
+            x = settle_table(x)  # read for the gaps and again for the features
         daily = is_daily(x, key, longer=longer)
     x = window_features(
         x,
@@ -117,13 +120,14 @@ def daily_features(
 
 def featurise_readings(
     readings: DataFrame,
-    station: str = DEFAULT_STATION,
-    pollutant: str = DEFAULT_POLLUTANT,
+    station: str | None = DEFAULT_STATION,
+    pollutant: str | None = DEFAULT_POLLUTANT,
     lags: Sequence[int] = HOURLY_LAGS,
     key: Sequence[str] | None = None,
 ) -> FeatureTable:
-    """Hourly features of one pollutant at the stations whose name matches."""
-    if "station_name" in readings.columns:
+    """Hourly features of one pollutant at the stations whose name matches; without a
+    station or pollutant, of all of them."""
+    if station and "station_name" in readings.columns:
         readings = matching_text(readings, "station_name", station)
     return hourly_features(readings, pollutant=pollutant, lags=lags, key=key)
 
@@ -132,8 +136,8 @@ def featurise_files(
     spark: SparkSession,
     paths: Sequence[str],
     out: str,
-    station: str = DEFAULT_STATION,
-    pollutant: str = DEFAULT_POLLUTANT,
+    station: str | None = DEFAULT_STATION,
+    pollutant: str | None = DEFAULT_POLLUTANT,
     partition_by: Sequence[str] = (),
 ) -> FeatureTable:
     """Read the hourly tables, build their features and write them to ``out``."""

@@ -35,9 +35,9 @@ from lagline.plans.models import (
 )
 from lagline.session import settle
 from lagline.sources import names
-from lagline.sources.columns import lags_in, name_history_columns, search_column
+from lagline.sources.columns import lags_in, name_history_columns, search_column, series_key
 from lagline.sources.sinks import log_run, write_json_records, write_parquet
-from lagline.sources.tables import load_daily, load_hourly, read_tables
+from lagline.sources.tables import default_paths, load_daily, load_hourly, read_tables
 
 # Rolling features a forest may use, default horizon and history.
 ROLLS = {"roll_7": 7, "roll_24": 24}
@@ -194,12 +194,14 @@ def forecast_sequence(
 def forecast(
     model: Model,
     history: DataFrame,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     horizon: int = HORIZON,
     freq: str = "D",
     **settings: object,
 ) -> Forecast:
-    """Forecast with whatever kind of model is given."""
+    """Forecast with whatever kind of model is given; the key is the station and pollutant
+    columns unless given."""
+    key = series_key(history.columns, key)
     run = {
         ForestModel: forecast_forest,
         SeasonalModel: forecast_seasonal,
@@ -211,16 +213,18 @@ def forecast(
 def choose_history(
     table: DataFrame,
     model: Model,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     freq: str = "D",
     history_window: int = HISTORY_WINDOW,
     station: str | None = None,
     pollutant: str | None = None,
     columns: Mapping[str, str] | None = None,
+    alignment: str = "reference",
 ) -> DataFrame:
     """Filter a loaded table and keep the newest rows of each series.
 
-    A forest gets at least as many rows as its largest lag.
+    These are ``history_window`` rows, or more if the model and the alignment need more. The
+    key is the station and pollutant columns unless given.
     """
     given = columns or {}
     if station:
@@ -234,9 +238,12 @@ def choose_history(
     if freq.upper() == "H" and pollutant:
         table = only_normal_pollutant(table, pollutant)
     table = name_history_columns(table, given.get("datetime"), given.get("value"))
+    key = series_key(table.columns, key)
     rows = history_window
     if isinstance(model, ForestModel):
-        rows = max([rows, *lags_in(model.features)])
+        rows = max(rows, history_needed(model.features, alignment))
+    elif isinstance(model, SequenceModel):
+        rows = max(rows, model.seq_len)
     columns_kept = table.select(*key, "datetime", "value")
     tail = history_tail(columns_kept, key, rows, ["datetime", "value"])
     return standard_rows(tail)
@@ -245,24 +252,34 @@ def choose_history(
 def forecast_files(
     spark: SparkSession,
     model: Model,
-    paths: Sequence[str],
+    paths: Sequence[str] | None,
     out: str,
     log: str,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     horizon: int = HORIZON,
     freq: str = "D",
     history_window: int = HISTORY_WINDOW,
     station: str | None = None,
     pollutant: str | None = None,
     columns: Mapping[str, str] | None = None,
+    alignment: str = "reference",
+    folder: str = ".",
 ) -> DataFrame:
-    """Read, choose the history, forecast, write Parquet and JSON, log the run."""
+    """Read, choose the history, forecast, write Parquet and JSON, log the run.
+
+    Without paths the usual files in ``folder`` are read. ``alignment`` is for forests.
+    """
+    paths = default_paths(folder, freq) if paths is None else paths
     table = read_tables(spark, paths)
     table = load_hourly(table, columns) if freq.upper() == "H" else load_daily(table)
     history = settle(
-        choose_history(table, model, key, freq, history_window, station, pollutant, columns)
+        choose_history(
+            table, model, key, freq, history_window, station, pollutant, columns, alignment
+        )
     )
-    made = forecast(model, history, key, horizon, freq)
+    key = series_key(history.columns, key)
+    settings = {"alignment": alignment} if isinstance(model, ForestModel) else {}
+    made = forecast(model, history, key, horizon, freq, **settings)
     if not made.short.isEmpty():
         write_parquet(made.short, f"{out}/too_short")
     write_parquet(made.rows, f"{out}/forecast")

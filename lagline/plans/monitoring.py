@@ -8,8 +8,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagline.functions.clean import present
 from lagline.operators.drift import (
     DRIFT_SHARE,
+    METHOD,
     column_drift,
     dataset_drift,
     error_histogram,
@@ -19,8 +21,9 @@ from lagline.operators.drift import (
 from lagline.operators.joins import align
 from lagline.operators.metrics import mae, regression_quality, rmse
 from lagline.operators.series import match_keys
-from lagline.operators.splits import recent_split
+from lagline.operators.splits import HALVES_UPTO, RECENT_ROWS, recent_split
 from lagline.session import settle, settle_table
+from lagline.sources.columns import series_key
 from lagline.sources.sinks import log_run
 
 # Alert limits.
@@ -50,20 +53,39 @@ class Report:
 def monitor(
     truth: DataFrame,
     forecasts: DataFrame,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     mae_limit: float = MAE_LIMIT,
     drift_limit: float = DRIFT_LIMIT,
     drift_share: float = DRIFT_SHARE,
+    method: str = METHOD,
+    recent_rows: int = RECENT_ROWS,
+    halves_upto: int = HALVES_UPTO,
 ) -> Report:
     """Errors, drift of the recent rows against the earlier ones, and the alert.
 
-    Series without a common time are left out; without a key an empty overlap gives one
-    row with no points and no alert.
+    The key is the station and pollutant columns that both sides have unless given. A series
+    of the forecasts that has no time in common with the truth has no points, no drift and
+    no alert; so has the one row without a key.
     """
+    shared = [c for c in truth.columns if c in forecasts.columns]
+    key = series_key(shared, key)
     pairs = align(truth, forecasts, key)
-    labelled = settle_table(recent_split(pairs, ["datetime", "value", "forecast"], key))
-    drift = settle(column_drift(labelled, key))
+    order = ["datetime", "value", "forecast"]
+    labelled = settle_table(
+        recent_split(pairs, order, key, recent_rows=recent_rows, halves_upto=halves_upto)
+    )
+    drift = settle(column_drift(labelled, key, method=method))
     summary = alert_summary(labelled, drift, key, mae_limit, drift_limit, drift_share)
+    if key:
+        wanted = present(forecasts.select(*key).distinct(), key)
+        summary = match_keys(wanted, summary, key, "left").withColumns(
+            {
+                "n_points": F.coalesce("n_points", F.lit(0)),
+                "drift_score": F.coalesce("drift_score", F.lit(0.0)),
+                "dataset_drift": F.coalesce("dataset_drift", F.lit(False)),
+                "alert": F.coalesce("alert", F.lit(False)),
+            }
+        )
     return Report(key, labelled, summary, drift)
 
 
@@ -108,12 +130,17 @@ def run_monitoring(
     forecasts: DataFrame,
     log: str,
     model: str = "rf",
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     mae_limit: float = MAE_LIMIT,
     drift_limit: float = DRIFT_LIMIT,
+    method: str = METHOD,
+    recent_rows: int = RECENT_ROWS,
+    halves_upto: int = HALVES_UPTO,
 ) -> Report:
     """Monitor and log one run over all series: worst drift, any alert."""
-    report = monitor(truth, forecasts, key, mae_limit, drift_limit)
+    report = monitor(
+        truth, forecasts, key, mae_limit, drift_limit, DRIFT_SHARE, method, recent_rows, halves_upto
+    )
     summary = settle(report.summary)
     points = F.col("n_points")
     overall = summary.agg(

@@ -28,6 +28,7 @@ from lagline.plans.models import (
     SequenceModel,
 )
 from lagline.session import settle, settle_table
+from lagline.sources.columns import series_key
 
 # Forest size, holdout share, sequence length and seasonal components.
 TREES = 300
@@ -108,7 +109,7 @@ def fit_linear(
 
 def train_sequence(
     table: DataFrame,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     seq_len: int = SEQ_LEN,
     share: float = HOLDOUT,
     scale_on: str = "train",
@@ -121,6 +122,7 @@ def train_sequence(
     """
     if scale_on not in ("train", "all"):
         raise ValueError(f"scale_on must be train or all, got {scale_on!r}")
+    key = series_key(table.columns, key)
     order = ["datetime", "value"]
     rows = with_position(table.select(*key, *order), key, order, "__position", "__size")
     complete = F.greatest(F.col("__size") - seq_len, F.lit(0))
@@ -144,15 +146,22 @@ def train_sequence(
     return Trained(model, slice_metrics(scored, "value"), scored)
 
 
-def seasonal_design(train: DataFrame, key: Sequence[str]) -> SeasonalDesign:
+def seasonal_design(
+    train: DataFrame,
+    key: Sequence[str],
+    changepoints: int = CHANGEPOINTS,
+    components: Sequence[str] | None = None,
+) -> SeasonalDesign:
     """Trend and seasonal terms that the training rows can tell apart.
 
-    A component needs two whole periods of data, and a harmonic a period of more than
-    two steps; anything else could not be told from a constant or a trend.
+    By default a component needs two whole periods of data, and a harmonic a period of more
+    than two steps; anything else could not be told from a constant or a trend. Components
+    that are named are taken with all their harmonics. The trend has at most
+    ``changepoints`` bends, fewer with as few times.
     """
     micros = epoch_micros(F.col("datetime"))
     first, last, moments = train.agg(
-        F.min(micros), F.max(micros), F.approx_count_distinct("datetime")
+        F.min(micros), F.max(micros), F.count_distinct("datetime")
     ).first()
     if first is None or first == last:
         raise ValueError("need at least two different times to fit on")
@@ -162,26 +171,35 @@ def seasonal_design(train: DataFrame, key: Sequence[str]) -> SeasonalDesign:
     for name, (days, orders) in COMPONENTS.items():
         period = days * DAY_SECONDS
         usable = [n for n in range(1, orders + 1) if period / n > 2 * step]
-        if span < 2 * period or not usable:
+        if components is not None:
+            if name in components:
+                harmonics += [(period, n) for n in range(1, orders + 1)]
+            else:
+                dropped.append(name)
+        elif span < 2 * period or not usable:
             dropped.append(name)
         else:
             harmonics += [(period, n) for n in usable]
-    bends = min(CHANGEPOINTS, max(moments - 1, 0))
-    changepoints = [CHANGEPOINT_RANGE * i / (bends + 1) for i in range(1, bends + 1)]
-    return SeasonalDesign(first, span, changepoints, harmonics, dropped)
+    bends = min(changepoints, max(moments - 1, 0))
+    at = [CHANGEPOINT_RANGE * i / (bends + 1) for i in range(1, bends + 1)]
+    return SeasonalDesign(first, span, at, harmonics, dropped)
 
 
 def train_seasonal(
     table: DataFrame,
-    key: Sequence[str] = (),
+    key: Sequence[str] | None = None,
     share: float = HOLDOUT,
     ridge: float = RIDGE,
+    changepoints: int = CHANGEPOINTS,
+    components: Sequence[str] | None = None,
 ) -> Trained:
     """Additive regression on a piecewise linear trend and Fourier seasonality."""
+    key = series_key(table.columns, key)
     order = ["datetime", "value"]
     rows = settle_table(holdout(table.select(*key, *order), order, key, share))
     train = rows.where("slice = 'train'")
-    scaling, design = fit_scaling(train, key), seasonal_design(train, key)
+    scaling = fit_scaling(train, key)
+    design = seasonal_design(train, key, changepoints, components)
     scaled = scaling.attach(rows)
     mean, std = F.col("mean"), F.col("std")
     terms = design.columns(F.col("datetime"))
@@ -196,9 +214,13 @@ def train_seasonal(
 
 
 def train(
-    table: DataFrame, model: str = "rf", key: Sequence[str] = (), **settings: object
+    table: DataFrame, model: str = "rf", key: Sequence[str] | None = None, **settings: object
 ) -> Trained:
-    """Train the named model on a loaded daily table."""
+    """Train the named model on a loaded daily table.
+
+    The key is the station and pollutant columns unless given; an empty one pools all rows.
+    """
+    key = series_key(table.columns, key)
     if model == "rf":
         return train_forest(daily_features(table, key=key), key, **settings)
     if model == "prophet":

@@ -82,6 +82,15 @@ def with_series_key(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df, [station, *(["pollutant"] if "pollutant" in df.columns else [])]
 
 
+def series_key(columns: Sequence[str], key: Sequence[str] | None) -> list[str]:
+    """The given key, or the station and pollutant columns that there are; an empty key
+    treats a table as one series."""
+    if key is not None:
+        return list(key)
+    station = first_present(columns, names.STATION_KEYS)
+    return [*([station] if station else []), *(["pollutant"] if "pollutant" in columns else [])]
+
+
 def lags_in(features: Iterable[str]) -> list[int]:
     """The n of every ``lag_n`` among the feature names."""
     found = (re.fullmatch(r"lag_(\d+)", name) for name in features)

@@ -8,6 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: how a time in UTC ends.
+UTC_OFFSET = "+00:00"
+
 RUN_LOG_SCHEMA = (
     "run_id string, kind string, params map<string,string>, "
     "metrics map<string,double>, logged_at timestamp"
@@ -20,8 +23,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_json_records(df: DataFrame, path: str, time: str = "datetime") -> str:
-    """One JSON record per row, the time as text and missing values as nulls."""
-    text = df.withColumn(time, F.col(time).cast("string"))
+    """One JSON record per row, the time as text in UTC and missing values as nulls."""
+    text = df.withColumn(time, F.concat(F.col(time).cast("string"), F.lit(UTC_OFFSET)))
     text.write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lagline.functions.clean import normal_label, standard_rows
 from lagline.operators.reshape import union_tables, wide_to_long
 from lagline.sources import names
-from lagline.sources.columns import hourly_layout, rename_first, search_column
+from lagline.sources.columns import hourly_layout, rename_first, search_column, series_key
 
 # File names looked for when no paths are given.
 DEFAULT_FILES = {
@@ -95,9 +95,10 @@ def load_hourly(df: DataFrame, overrides: Mapping[str, str] | None = None) -> Da
     return standard_rows(df)
 
 
-def load_truth(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Observed values only."""
-    return load_training(df).select(*key, "datetime", "value")
+def load_truth(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
+    """Observed values only, with their key."""
+    df = load_training(df)
+    return df.select(*series_key(df.columns, key), "datetime", "value")
 
 
 def load_predictions(df: DataFrame) -> DataFrame:

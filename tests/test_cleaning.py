@@ -12,6 +12,7 @@ from lagline.functions.clean import (
     parse_time,
     standard_rows,
     step_interval,
+    unread_times,
     utc_to_instant,
 )
 from lagline.functions.history import mean_before_newest, push, recur
@@ -33,6 +34,41 @@ def test_parse_time_date_text_is_midnight(spark):
     assert column(spark, ["2024-03-10"], "string", parse_time) == [datetime(2024, 3, 10)]
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("2024-03-10 12:00:00+04", datetime(2024, 3, 10, 8)),
+        ("2024-03-10 12:00:00 +0400", datetime(2024, 3, 10, 8)),
+        ("2024-03-10T12:00:00.25-03:30", datetime(2024, 3, 10, 15, 30, 0, 250_000)),
+        ("2024/03/10 12:00:00+00", NOON),
+        ("2024/3/10", datetime(2024, 3, 10)),
+        ("20240310", datetime(2024, 3, 10)),
+        ("20240310 12:00", NOON),
+        ("03/10/2024 12:00", NOON),
+        ("13/02/2024", datetime(2024, 2, 13)),
+        ("2024-03-10 12:00 utc", NOON),
+        ("\t2024-03-10 12:00:00Z\n", NOON),
+        ("2024-03", datetime(2024, 3, 1)),
+        ("2024", datetime(2024, 1, 1)),
+        ("2024-03-10+04", None),
+        ("2024-03-10 12:00:00 EST", None),
+        ("2024-03-10 12:00:00 Indian/Reunion", None),
+        ("2024-13-10", None),
+        ("2024-02-30", None),
+        ("25:00", None),
+        ("", None),
+    ],
+)
+def test_parse_time_layouts(spark, text, expected):
+    assert column(spark, [text], "string", parse_time) == [expected]
+
+
+def test_unread_times_are_counted(spark):
+    rows = [("2024-01-01", "x"), ("no", None), (None, "2024"), ("nor this", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert tuple(unread_times(df, ["a", "b"]).first()) == (2, 2)
+
+
 def test_parse_time_nanoseconds(spark):
     exact = NOON.replace(microsecond=123_457)
     assert column(spark, [1_710_072_000_123_457_000], "bigint", parse_time) == [exact]
@@ -66,6 +102,7 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
 
 
 def test_parse_number_text(spark):
+    assert column(spark, ["\t5", "6\n"], "string", parse_number) == [5.0, 6.0]
     texts = ["1.5", " 2 ", "-3e2", ".5", "7.", "1d", "1,5", "0x1", "", "nan", "inf", None]
     found = column(spark, texts, "string", parse_number)
     assert found[:5] == [1.5, 2.0, -300.0, 0.5, 7.0]

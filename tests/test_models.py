@@ -335,7 +335,8 @@ def test_daily_run(spark, table, tmp_path, model, settings):
     paths = [f"{tmp_path}/a", f"{tmp_path}/b"]
     run = daily_run(spark, paths, f"{tmp_path}/out", model, horizon=4, key=KEY, **settings)
     assert run.forecast.count() == 8
-    assert run.report.summary.count() == 0  # nothing observed yet for the days ahead
+    points = [r.n_points for r in run.report.summary.collect()]
+    assert points == [0, 0]  # nothing observed yet for the days ahead
     kinds = [r["kind"] for r in read_runs(spark, f"{tmp_path}/out/runs").collect()]
     assert sorted(kinds) == ["forecast", "train"]
     written = spark.read.json(f"{tmp_path}/out/predictions/forecast_json")

@@ -101,14 +101,39 @@ def test_distances_against_numpy(spark, limit):
     assert (row["n_reference"], row["n_current"]) == (150, 90)
 
 
-def test_test_choice_follows_the_reference_size(spark):
-    rows = [("reference", float(i % 7)) for i in range(40)] + [("current", 3.0)] * 10
-    labelled = spark.createDataFrame(rows, "slice string, value double")
-    small = column_drift(labelled, columns=["value"]).first()
-    large = column_drift(labelled, columns=["value"], ks_upto_rows=39).first()
-    assert (small["method"], large["method"]) == ("ks", "wasserstein")
-    std = np.std([i % 7 for i in range(40)])
-    assert large["wasserstein_normed"] == pytest.approx(large["wasserstein"] / std)
+def test_the_test_does_not_depend_on_the_size(spark):
+    for count in (40, 1_500):
+        rows = [("reference", float(i % 7)) for i in range(count)] + [("current", 3.0)] * 10
+        labelled = spark.createDataFrame(rows, "slice string, value double")
+        std = np.std([i % 7 for i in range(count)])
+        for method in ("ks", "wasserstein"):
+            row = column_drift(labelled, columns=["value"], method=method).first()
+            assert row["method"] == method and row["ks_p_value"] is not None
+            assert row["wasserstein_normed"] == pytest.approx(row["wasserstein"] / std)
+    with pytest.raises(ValueError):
+        column_drift(labelled, method="other")
+
+
+def test_series_without_overlap_are_reported(spark):
+    truth = [("a", i, float(i)) for i in range(20)] + [("b", i, 1.0) for i in range(5)]
+    made = [("a", i, float(i)) for i in range(20)] + [("c", i, 1.0) for i in range(5)]
+
+    def table(rows, name):
+        df = spark.createDataFrame(rows, f"station string, day int, {name} double")
+        return df.selectExpr("station", "timestamp_ntz'2024-01-01' + make_dt_interval(day) AS datetime", name)
+
+    report = monitor(table(truth, "value"), table(made, "forecast"))
+    found = {r.station: (r.n_points, r.drift_score, r.alert) for r in report.summary.collect()}
+    assert set(found) == {"a", "c"} and found["c"] == (0, 0.0, False) and found["a"][0] == 20
+
+
+def test_repeated_times_need_a_key(spark):
+    truth = spark.sql("SELECT timestamp_ntz'2024-01-01' AS datetime, 1.0D AS value, id FROM range(2)")
+    made = truth.withColumnRenamed("value", "forecast")
+    with pytest.raises(ValueError):
+        align(truth, made)
+    assert align(truth, made, repeats=True).count() == 4
+    assert align(truth, made, ["id"]).count() == 2
 
 
 def test_positions_of_long_series(spark, tiny_tasks):
