@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,8 +34,8 @@ def series_row_limit(spark: SparkSession) -> int:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back
-    to a folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``. Only a plain local master, whose tasks
+    all run in the driver, may fall back to a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -42,7 +43,7 @@ def scratch_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="lagline-")
 
@@ -76,3 +77,17 @@ def _checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(spark))
     return context.getCheckpointDir()
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder, at the end of a job.
+
+    Frames that read it cannot be used any more.
+    """
+    context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.delete(path, True)
+        files.mkdirs(path)

@@ -199,3 +199,27 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     plan = table.frame._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(pollutant,NO2)" in plan
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize(
+    ("hours", "daily"),
+    [
+        ([], False),
+        ([24], True),
+        ([23], False),
+        ([1, 24], False),
+        ([22, 26], True),
+        ([1, 47], True),
+        ([1, 1, 30], False),
+        ([1, 30, 30], True),
+        ([0, 0, 0, 48, 48], False),
+        ([0, 0, 24, 48], False),
+    ],
+)
+def test_cadence_from_counts_is_that_of_the_median(spark, hours, daily):
+    times = [START]
+    for h in hours:
+        times.append(times[-1] + timedelta(hours=h))
+    rows = spark.createDataFrame([(t,) for t in times], "datetime timestamp_ntz")
+    median = median_gap(rows, []).first()[0]
+    assert is_daily(rows, []) == daily == (median is not None and median >= 86_400)

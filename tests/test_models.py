@@ -17,6 +17,7 @@ from lagline.plans.forecasting import (
     forecast_seasonal,
     forecast_sequence,
     future_times,
+    history_needed,
 )
 from lagline.plans.models import (
     Scaling,
@@ -341,3 +342,24 @@ def test_daily_run(spark, table, tmp_path, model, settings):
     assert sorted(kinds) == ["forecast", "train"]
     written = spark.read.json(f"{tmp_path}/out/predictions/forecast_json")
     assert written.count() == 8
+
+
+def test_text_filters_know_accented_letters(spark):
+    rows = [("Étienne",), ("ÉTIENNE",), ("étienne",), ("etienne",), (None,)]
+    df = spark.createDataFrame(rows, "station string")
+    assert matching_text(df, "station", "étienne").count() == 3
+
+
+def test_history_is_long_enough_for_the_model(spark, table, forest):
+    need = history_needed(forest.model.features, "consistent")
+    chosen = choose_history(table, forest.model, KEY, history_window=2, alignment="consistent")
+    assert {r["count"] for r in chosen.groupBy(*KEY).count().collect()} == {need}
+    made = forecast_forest(forest.model, chosen, KEY, 3, alignment="consistent")
+    assert made.short.isEmpty() and made.rows.count() == 6
+
+
+def test_keys_are_found(spark, table):
+    given = train(table, "lstm", KEY, seq_len=5)
+    found = train(table, "lstm", seq_len=5)
+    pooled = train(table, "lstm", (), seq_len=5)
+    assert found.metrics.collect() == given.metrics.collect() != pooled.metrics.collect()
