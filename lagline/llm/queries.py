@@ -32,6 +32,16 @@ def query(function: Query) -> Query:
     return function
 
 
+def checked_by(sql: str) -> Callable[[Query], Query]:
+    """Register a query with SQL for the same rows."""
+
+    def register(function: Query) -> Query:
+        ORACLES[function.__name__] = sql
+        return query(function)
+
+    return register
+
+
 def ranks() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -42,7 +52,35 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents, "doc_id", "text", ranks(), public_tokenizers.PATTERN)
 
 
-@query
+@checked_by(r"""
+  WITH folded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+  items AS (
+    SELECT item_id, regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+  windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n,
+           array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS words
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s
+          FROM items WHERE len(w) > 0)),
+  found AS (
+    SELECT doc_id, s, n, item_id
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+          FROM folded, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n) AS d
+    JOIN windows USING (n)
+    WHERE array_to_string(d.w[d.s : d.s + n - 1], ' ') = windows.words),
+  hits AS (
+    SELECT doc_id, len(list_distinct(flatten(list(range(s, s + n))))) AS n_hit,
+           count(DISTINCT item_id) AS n_items,
+           sha256(array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',')) AS digest
+    FROM found GROUP BY doc_id)
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+         coalesce(n_items, 0)::BIGINT AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+         coalesce(n_hit, 0) > 0 AS contaminated
+  FROM folded LEFT JOIN hits USING (doc_id)""")
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     found = decontamination.scan(documents, "doc_id", "text", items, "item_id", "text")
@@ -86,7 +124,64 @@ URL_RULES = [
 ]
 
 
-@query
+def _rounds() -> str:
+    """The rounds of both ranks, one table after the other."""
+    tables = []
+    for number in range(links.ROUNDS):
+        tables.append(f"""r{number + 1} AS (
+    SELECT kind, host, sum(rank) AS rank FROM (
+      SELECT kind, host, rank * {1 - links.DAMPING} AS rank FROM r0 UNION ALL
+      SELECT kind, target, rank * share * {links.DAMPING}
+      FROM shares JOIN r{number} USING (kind, host)) GROUP BY 1, 2)""")
+    return ",\n  ".join(tables)
+
+
+URL_SQL = rf"""
+  WITH cut AS (
+    SELECT page_id, html, CASE WHEN contains(url, '://')
+             THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  split AS (
+    SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+  rules(verdict, own, start) AS (VALUES {", ".join(map(str, URL_RULES))}),
+  fits AS (
+    SELECT page_id, arg_max(own || start, length(own || start)) AS rule,
+           arg_max(verdict, length(own || start)) AS verdict
+    FROM split JOIN rules ON (host = own OR ends_with(host, '.' || own))
+      AND starts_with(path, start) GROUP BY 1),
+  ruled AS (SELECT page_id, host, path, rule, verdict FROM split LEFT JOIN fits USING (page_id)),
+  found AS (
+    SELECT host AS source, translate(unnest(regexp_extract_all(html,
+             '(?i)href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)', 1)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM split),
+  counted AS (
+    SELECT source, target, count(*) AS links FROM found
+    WHERE source <> '' AND target <> '' AND source <> target GROUP BY 1, 2),
+  edges AS (
+    SELECT 'trust' AS kind, source AS host, target, links FROM counted UNION ALL
+    SELECT 'distrust', target, source, links FROM counted),
+  shares AS (
+    SELECT kind, host, target, links / sum(links) OVER (PARTITION BY kind, host) AS share
+    FROM edges),
+  seeds AS (
+    SELECT host, count(*) FILTER (verdict = 'allow') * 2 > count(*) AS trusted,
+           count(*) FILTER (verdict = 'block') * 2 > count(*) AS bad
+    FROM ruled WHERE host <> '' GROUP BY 1),
+  r0 AS (
+    SELECT 'trust' AS kind, host, 1.0 / count(*) OVER () AS rank FROM seeds WHERE trusted
+    UNION ALL SELECT 'distrust', host, 1.0 / count(*) OVER () FROM seeds WHERE bad),
+  {_rounds()},
+  ranks AS (
+    SELECT host, coalesce(max(rank) FILTER (kind = 'distrust'), 0)
+             - coalesce(max(rank) FILTER (kind = 'trust'), 0) AS excess
+    FROM r{links.ROUNDS} GROUP BY 1)
+  SELECT page_id, host, path, rule,
+         coalesce(verdict, CASE WHEN excess > {links.THRESHOLD} THEN 'block' END, 'allow') AS verdict
+  FROM ruled LEFT JOIN ranks USING (host)"""
+
+
+@checked_by(URL_SQL)
 def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
     return links.judge(table(spark, folder, "pages"), "page_id", "url", "html", URL_RULES)
 
@@ -97,7 +192,21 @@ def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     return rabitq.search(vectors, "vec_id", "embedding", "vec_id % 20 = 0")
 
 
-@query
+@checked_by(r"""
+  WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+  windows AS (
+    SELECT doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words WHERE len(w) >= 50)),
+  firsts AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+  gone AS (
+    SELECT doc_id, list_distinct(flatten(list(range(s, s + 50)))) AS places
+    FROM windows JOIN firsts USING (h) WHERE least < doc_id GROUP BY doc_id)
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+         sha256(array_to_string(CASE WHEN places IS NULL THEN w ELSE
+           list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+  FROM words LEFT JOIN gone USING (doc_id)""")
 def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
     return automata.dedup(table(spark, folder, "documents"), "doc_id", "text")
 

@@ -43,18 +43,33 @@ KINDS = [
 WIDTH = 4
 #: How many neighbours before it, of other texts, a suffix is compared with.
 NEIGHBOURS = 8
+STRIDE = 16
 
 
 def kept_suffixes(known: grams.WordCodes, text: str, shared: np.ndarray) -> list[tuple]:
-    """(anchor, place, right words, left words reversed) of the kept suffixes of a text."""
+    """(anchor, place, right words, left words reversed) of the kept suffixes of a text.
+
+    Where one word goes on and on, all its run hashes are equal and every place is a smallest
+    one. There the places are kept that lie a multiple of ``STRIDE`` words before the end of
+    the stretch, and its first place: equal stretches keep equal places.
+    """
     codes = grams.word_codes(grams.split_words(text), known)
     least, hashes = grams.anchors(codes)
     starts, ends = grams.runs(least)
     wanted = np.isin(least[starts], shared)
+    if not wanted.any():
+        return []
     short = (codes >> np.uint64(32)).astype(">u4")
+    change = np.flatnonzero(hashes[1:] != hashes[:-1])
+    last = np.append(change, len(hashes) - 1)
+    to_end = last[np.searchsorted(last, np.arange(len(hashes)))] - np.arange(len(hashes))
+    picked = to_end % STRIDE == 0
+    picked[0] = True
+    picked[change + 1] = True
     places = {}
     for a, b in zip(starts[wanted].tolist(), ends[wanted].tolist(), strict=True):
-        inside = np.flatnonzero(hashes[a : b + SPAN - 1] == least[a])
+        part = slice(a, b + SPAN - 1)
+        inside = np.flatnonzero((hashes[part] == least[a]) & picked[part])
         places.update(dict.fromkeys((a + inside).tolist(), int(grams.as_long(least[a : a + 1])[0])))
     return [
         (
@@ -67,30 +82,46 @@ def kept_suffixes(known: grams.WordCodes, text: str, shared: np.ndarray) -> list
     ]
 
 
-def common(a: bytes, b: bytes) -> int:
-    """How many leading words two word strings share."""
-    size = min(len(a), len(b)) // WIDTH * WIDTH
-    if a[:size] == b[:size]:
-        return size // WIDTH
-    x, y = np.frombuffer(a[:size], ">u4"), np.frombuffer(b[:size], ">u4")
-    return int(np.argmax(x != y))
-
-
-def compare(one: dict, two: dict) -> tuple[int, int]:
-    """Words that two suffixes share to the left and to the right of their places."""
-    if one["anchor"] != two["anchor"]:
-        return 0, 0
-    return common(one["left"], two["left"]), common(one["right"], two["right"])
+class Suffix:
+    """A kept suffix in a sorted range, and the longest matches found for it."""
+
+    __slots__ = ("row", "key", "anchor", "right", "left", "spans", "other")
+
+    def __init__(self, row: tuple):
+        self.row = row
+        self.key, _, self.anchor = row[:3]
+        self.right = int.from_bytes(row[4].ljust(WINDOW * WIDTH, b"\0"), "big")
+        self.left = int.from_bytes(row[5].ljust(GRAM * WIDTH, b"\0"), "big")
+        self.spans: list[tuple[int, int]] = []
+        self.other = LAST_ID
+
+    def meet(self, old: Suffix) -> None:
+        """Extend the match of two suffixes with one anchor to the right and to the left."""
+        bits = (self.right ^ old.right).bit_length()
+        right = min(WINDOW - -(-bits // 32), len(self.row[4]) // WIDTH, len(old.row[4]) // WIDTH)
+        bits = (self.left ^ old.left).bit_length()
+        left = min(GRAM - -(-bits // 32), len(self.row[5]) // WIDTH, len(old.row[5]) // WIDTH)
+        if left + right >= WINDOW:
+            for one, two in ((self, old), (old, self)):
+                one.other = min(one.other, two.row[1])
+                if not any(a >= left and b >= right for a, b in one.spans):
+                    one.spans.append((left, right))
+
+    def matches(self) -> list[tuple]:
+        key, first, anchor, place = self.row[:4]
+        return [
+            (0, place - left, place + right, self.other, key, first, anchor, place, b"", b"")
+            for left, right in self.spans
+        ]
 
 
 def neighbours(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
     """Matches (kind 0) of neighbouring suffixes of different texts in sorted rows. With
     ``edges`` also the rows of the first and of the last text (kind 1)."""
-    before: list[dict] = []  # the last rows of texts before the current one
-    now: list[dict] = []  # the rows of the current text
+    before: list[Suffix] = []  # the last rows of texts before the current one
+    now: list[Suffix] = []  # the rows of the current text
     first = True
     names = [part.split()[0] for part in MADE.split(", ")]
-    fields = names[4:]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -98,41 +129,37 @@ def neighbours(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.Re
             [pa.array(v, k) for v, k in zip(columns, KINDS, strict=True)], names=names
         )
 
-    def matched(one: dict, two: dict) -> list[tuple]:
-        left, right = compare(one, two)
-        if left + right < WINDOW:
-            return []
-        return [
-            (0, a["place"] - left, a["place"] + right, b["first"], *(a[f] for f in fields[:4]),
-             b"", b"")
-            for a, b in ((one, two), (two, one))
-        ]
-
-    def edge(row: dict) -> tuple:
-        return (1, 0, 0, 0, *(row[f] for f in fields))
-
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
-            rows = []
-            for row in batch.slice(at, 1024).to_pylist():
-                if now and row["anchor"] != now[-1]["anchor"]:
+            part = batch.slice(at, 1024)
+            rows: list[tuple] = []
+            for values in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                row = Suffix(values)
+                if now and row.anchor != now[-1].anchor:
+                    rows += [m for old in before for m in old.matches()]
                     before = []
-                if now and row["key"] != now[-1]["key"]:
+                if now and row.key != now[-1].key:
                     if edges and first:
-                        rows += [edge(r) for r in now]
+                        rows += [(1, 0, 0, 0, *own.row) for own in now]
                         first = False
-                    # All suffixes of one text in a row meet the first of the next.
                     for old in now[:-NEIGHBOURS]:
-                        rows += matched(old, row)
-                    before, now = [*before, *now][-NEIGHBOURS:], []
+                        # All suffixes of one text in a row meet the first of the next.
+                        if old.anchor == row.anchor:
+                            row.meet(old)
+                    kept = [*before, *now]
+                    rows += [m for old in kept[:-NEIGHBOURS] for m in old.matches()]
+                    before, now = kept[-NEIGHBOURS:], []
                 for old in before:
-                    if old["key"] != row["key"]:
-                        rows += matched(old, row)
+                    if old.key != row.key and old.anchor == row.anchor:
+                        row.meet(old)
                 now.append(row)
             if rows:
                 yield out(rows)
-    if edges and now:
-        yield out([edge(r) for r in now])
+    rows = [m for old in [*before, *now] for m in old.matches()]
+    if edges:
+        rows += [(1, 0, 0, 0, *own.row) for own in now]
+    if rows:
+        yield out(rows)
 
 
 def sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
