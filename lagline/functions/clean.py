@@ -14,14 +14,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Patterns and replacements that must be as they are for right results.
-# A date as year-month-day with - or /, as eight digits, as month/day/year (day first if the
-# first number cannot be a month), as year-month or as year; then, if wanted, a clock, and after
-# a clock only, a zone.
+# Layouts of times, in order: each pattern and what it becomes, up to year-month-day, clock and
+# offset. A date is year, month, day with - or /, or eight digits, or month/day/year (day first
+# if the first number cannot be a month), or year and month, or a year; a zone needs a clock.
+TIME_LAYOUTS = [
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"^(1[3-9]|[23]\d)/(\d{1,2})/(\d{4})(?!\d)", "$3-$2-$1"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2"),
+    (r"^(\d{4})$", "$1-01"),
+    (r"^(\d{4}-\d{1,2})$", "$1-01"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})$", "$1 00:00:00"),
+    (r"^(\S+?)(?:[tT]|\s+)(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)", "$1 $2"),
+    (r"^(\S+ \d{1,2}:\d{2})(?![\d:.])", "$1:00"),
+    (r"(?i)(:[\d.]+)\s*(?:z|utc|gmt)$", "$1+00:00"),
+    (r"(:[\d.]+)\s*([+-]\d{2}):?(\d{2})$", "$1$2:$3"),
+    (r"(:[\d.]+)\s*([+-]\d{2})$", "$1$2:00"),
+    (r"^([^:]+ [\d:.]+)$", "$1+00:00"),
+]
 TIME_TEXT = (
-    r"^(?:(\d{4})[-/](\d{1,2})[-/](\d{1,2})|(\d{4})(\d{2})(\d{2})|(\d{1,2})/(\d{1,2})/(\d{4})"
-    r"|(\d{4})(?:-(\d{1,2}))?)"
-    r"(?:(?:[tT]|\s+)(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)"
-    r"\s*(?:[zZ]|(?i:UTC|GMT)|([+-]\d{2})(?::?(\d{2}))?)?)?$"
+    r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2}:\d{2})$"
 )
 BLANK_ENDS = r"^\s+|\s+$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -57,7 +69,7 @@ def epoch_micros(time: Column) -> Column:
 def parse_time(column: Column, kind: T.DataType) -> Column:
     """Any time-like column to UTC wall clock; what cannot be read becomes null.
 
-    Text is read in the layouts of ``TIME_TEXT``; anything else, such as an unknown zone,
+    Text is read in the layouts of ``TIME_LAYOUTS``; anything else, such as an unknown zone,
     becomes null (see :func:`unread_times`). Text without a zone is taken as UTC, numbers
     as nanoseconds since 1970.
     """
@@ -77,25 +89,9 @@ def parse_time(column: Column, kind: T.DataType) -> Column:
 
 def parse_time_text(text: Column) -> Column:
     """Text without blanks around it to UTC wall clock."""
-
-    def part(number: int) -> Column:
-        found = F.regexp_extract(text, TIME_TEXT, number)
-        return F.when(found != "", found)
-
-    first, second = part(7), part(8)
-    day_first = first.cast("int") > 12
-    year = F.coalesce(part(1), part(4), part(9), part(10))
-    month = F.coalesce(
-        part(2), part(5), F.when(day_first, second).otherwise(first), part(11), F.lit("1")
-    )
-    day = F.coalesce(part(3), part(6), F.when(day_first, first).otherwise(second), F.lit("1"))
-    clock = F.coalesce(part(12), F.lit("00:00"))
-    local = F.concat_ws(" ", F.concat_ws("-", year, month, day), clock)
-    hours = F.coalesce(part(13).cast("int"), F.lit(0))
-    minutes = F.coalesce(part(14).cast("int"), F.lit(0))
-    ahead = hours * 60 + F.when(part(13).startswith("-"), -minutes).otherwise(minutes)
-    offset = F.make_dt_interval(F.lit(0), F.lit(0), ahead)
-    return F.when(text.rlike(TIME_TEXT), local.try_cast("timestamp_ntz") - offset)
+    for pattern, becomes in TIME_LAYOUTS:
+        text = F.regexp_replace(text, pattern, becomes)
+    return instant_to_utc(F.regexp_extract(text, TIME_TEXT, 1).try_cast("timestamp"))
 
 
 def unread_times(df: DataFrame, names: Iterable[str]) -> DataFrame:
