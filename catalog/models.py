@@ -107,6 +107,24 @@ def ar_training_30(spark, folder):
     return train_sequence(readings(spark, folder), KEY).metrics
 
 
+@query("""SELECT 'lag_' || i AS term, 0.0::DOUBLE AS mean_product FROM range(1, 31) AS t(i)
+  UNION ALL SELECT 'constant', 0.0::DOUBLE""")
+def ar_training_30_residuals(spark, folder):
+    """Least squares leave residuals that no input explains: their mean products are 0."""
+    rows = readings(spark, folder)
+    lags = [f"lag_{n}" for n in range(1, 31)]
+    trained = train_sequence(rows, KEY)
+    order = ["datetime", "value"]
+    inputs = window_features(rows, KEY, order, lags=range(1, 31)).select(*KEY, *order, *lags)
+    pairs = trained.scored.where("slice = 'train'").join(inputs, [*KEY, *order])
+    pairs = trained.model.scaling.attach(pairs)
+    residual = (F.col("value") - F.col("forecast")) / F.col("std")
+    products = {n: residual * (F.col(n) - F.col("mean")) / F.col("std") for n in lags}
+    products["constant"] = residual
+    means = pairs.agg(*[F.abs(F.round(F.avg(p), 6)).alias(n) for n, p in products.items()])
+    return means.unpivot([], list(products), "term", "mean_product")
+
+
 @query()
 def ar_training_forecast(spark, folder):
     hours = hourly(spark, folder)
