@@ -72,7 +72,7 @@ def test_drift_alert(spark, tmp_path):
 
 def test_align_multiplies_repeated_times(spark):
     truth, made = truth_and_forecast(spark, [1.0, 2.0], [1.0, 2.0])
-    assert align(truth.union(truth), made).count() == 4
+    assert align(truth.union(truth), made, repeats=True).count() == 4
 
 
 def numpy_distances(a, b):

@@ -206,7 +206,7 @@ def test_json_records(spark, tmp_path):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS datetime, 1.5D AS forecast")
     path = write_json_records(df, f"{tmp_path}/json")
     row = spark.read.json(path).first()
-    assert (row["datetime"], row["forecast"]) == ("2024-01-01 00:00:00", 1.5)
+    assert (row["datetime"], row["forecast"]) == ("2024-01-01 00:00:00+00:00", 1.5)
 
 
 def test_run_log_appends(spark, tmp_path):
