@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm import crf
-from lagline.llm.common import map_texts, quoted
+from lagline.llm.common import map_texts, quoted, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 4000
@@ -181,13 +181,8 @@ def tagged(found: list[list[tuple[int, int]]], spans: list[Span]) -> list[list[i
 def labelled_chains(documents: DataFrame, id_column: str, text: str) -> list:
     """A bounded sample of chains as (feature rows, tags)."""
     ids = F.col(quoted(id_column))
-    chosen = (
-        documents.select(ids.alias("id"))
-        .where("id is not null")
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(SAMPLE_DOCUMENTS)
-        .distinct()
-    )
+    known = documents.select(ids.alias("id")).where("id is not null")
+    chosen = smallest_hashes(known, "id", SAMPLE_DOCUMENTS, known.count()).distinct()
     rows = documents.select(ids.alias("id"), F.col(quoted(text)).alias("text"))
     rows = rows.where(F.col("text").rlike("[0-9@+]")).join(F.broadcast(chosen), "id")
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagline.llm.common import map_batches, quoted, settled
+from lagline.llm.common import map_batches, quoted, settled, smallest_hashes
 
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 64 << 20
@@ -158,7 +158,7 @@ def fit(rows: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     are fitted on: ids and vectors."""
     size = rows.select(F.size("v")).first()[0]
     most = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * size)))
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).toArrow()
+    chosen = smallest_hashes(rows, "vec_id", most, total).toArrow()
     ids, at = np.unique(chosen.column("vec_id").to_numpy(), return_index=True)
     points = _matrix(chosen.column("v").combine_chunks())[at]
     cells = min(MOST_CELLS, max(1, math.ceil(math.sqrt(total) / 4)), len(points))

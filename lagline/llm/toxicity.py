@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm import crf
-from lagline.llm.common import map_texts, quoted
+from lagline.llm.common import map_texts, quoted, smallest_hashes
 
 FOLDS = 5
 SAMPLE_PER_CLASS = 3000
@@ -149,8 +149,8 @@ def sample(documents: DataFrame, labels: DataFrame, id_column: str, text: str) -
     known = known.where(~held_out(F.col("id")))
     chosen = None
     for value in (1, 0):
-        own = known.where(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id")
-        own = own.limit(SAMPLE_PER_CLASS)
+        own = known.where(F.col("toxic") == value)
+        own = smallest_hashes(own, "id", SAMPLE_PER_CLASS, own.count())
         chosen = own if chosen is None else chosen.union(own)
     chosen = chosen.groupBy("id").agg(F.max("toxic").alias("toxic"))
     rows = documents.select(
