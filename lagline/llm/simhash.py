@@ -1,4 +1,4 @@
-"""SimHash fingerprints and near-duplicates by bit-sliced comparison.
+"""SimHash fingerprints, near-duplicates by bit-sliced comparison, and exact set similarity.
 
 Blocks. ``near`` finds fingerprints that differ in at most ``radius`` bits. The 64 bits are cut
 into ``radius + 2`` bands; two fingerprints within the radius agree in at least two of them, so
@@ -14,13 +14,17 @@ the radius"; the block is left as soon as that is set for all pairs.
 Only a spanning forest of a block's links is handed on: as many rows as fingerprints at most.
 
 Equal fingerprints are compared once. Null or empty texts have the fingerprint zero.
+
+Similarity. ``one_of_each`` uses wide fingerprints only to find groups that no similar pair can
+leave; within each group the sets of shingles themselves decide.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from itertools import chain, combinations
+from functools import cache
+from itertools import chain, combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import content_key, map_batches, map_texts, quoted, settled
+from lagline.llm.common import SLICE_ROWS, content_key, map_batches, map_texts, quoted, settled
 from lagline.llm.components import components
 
 BITS = 64
@@ -248,7 +252,13 @@ def tiled(rows: DataFrame, key: str, member: str, most: int = TILE) -> DataFrame
     so that any two of them share some tile, and a tile holds about 2 * ``most`` rows."""
     large = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
     parts = F.ceil(F.col("__n") / most).cast("int")
-    joined = rows.join(large.select(key, parts.alias("__parts")), key, "left")
+    return in_tiles(rows, large.select(key, parts.alias("__parts")), key, member)
+
+
+def in_tiles(rows: DataFrame, parts: DataFrame, key: str, member: str) -> DataFrame:
+    """Rows with ``tile``: any two of a key in ``parts`` (with its number ``__parts``) share some
+    tile of two parts; other keys have the tile 0."""
+    joined = rows.join(parts, key, "left")
     own = F.pmod(F.xxhash64(member), F.col("__parts")).cast("int")
     joined = joined.withColumn("__own", own)
     tiles = F.when(F.col("__parts").isNull(), F.array(F.lit(0))).otherwise(
@@ -307,34 +317,168 @@ def linked(documents: DataFrame, id_column: str, text: str, shingle: int, radius
 
 
 #: Of the similarity stage: words of 64 bits in a fingerprint, of these in the sieve, smallest
-#: hashes in a block key and block keys.
-LANES, SIEVE, ROWS, KEYS = 16, 4, 4, 12
+#: hashes in a block key at most, and block keys.
+LANES, SIEVE, ROWS, KEYS = 16, 4, 4, 40
 MIXERS = np.array(
     [xxhash.xxh64_intdigest(b"mix%d" % i) | 1 for i in range(LANES + ROWS * KEYS)], np.uint64
 )
+#: Up to so many shingles, texts are blocked by prefixes of their sets.
+SHORT = 69
+#: Share of the pairs at the limit that the block keys of longer texts may miss, and standard
+#: errors that the fingerprints of a pair at the limit have to spare.
+MISSED, SPARE = 1e-9, 6
+#: Shingles of the texts in a part of a tile.
+TILE_SHINGLES = 1 << 21
+
+
+@cache
+def share_of(both: int, one: int, other: int) -> float:
+    """Chance that a bit of two fingerprints differs: sets with ``both`` shingles in common and
+    ``one`` and ``other`` of their own."""
+
+    def more(own: int) -> list[float]:
+        """Per number of common shingles with the bit: chance that over half of the set has it."""
+        size = both + own
+        return [
+            sum(math.comb(own, i) for i in range(own + 1) if 2 * (k + i) > size) / 2**own
+            for k in range(both + 1)
+        ]
+
+    return sum(
+        math.comb(both, k) / 2**both * (p + q - 2 * p * q)
+        for k, (p, q) in enumerate(zip(more(one), more(other), strict=True))
+    )
 
 
-def radius_of(similarity: float, bits: int) -> int:
-    """Differing bits to be expected of two texts of so similar shingle sets (Jaccard), and one
-    standard error."""
+def radius_of(similarity: float, bits: int, short: bool) -> int:
+    """Differing bits that no two texts of so similar shingle sets (Jaccard) exceed, but for a
+    chance of ``SPARE`` standard errors; ``short`` is for texts of up to ``SHORT`` shingles,
+    where ties of even counts make more bits differ."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + math.sqrt(bits * share * (1 - share)))
+    for large in range(1, SHORT + 1) if short else ():
+        for small in range(math.ceil(similarity * large - 1e-9), large + 1):
+            both = math.ceil(similarity * (large + small) / (1 + similarity) - 1e-9)
+            if both <= small:
+                share = max(share, share_of(both, large - both, small - both))
+    return math.ceil(bits * share + SPARE * math.sqrt(bits * share * (1 - share)))
+
 
+def rows_of(similarity: float) -> int:
+    """Smallest hashes in a block key, so that two texts at the limit have a common key but for
+    ``MISSED``; 0 if one is too many already."""
+    if similarity >= 1:
+        return ROWS
+    return min(ROWS, int(math.log(1 - MISSED ** (1 / KEYS)) / math.log(similarity)))
 
-def wide_print(hashes: np.ndarray) -> tuple[bytes, list[int]]:
-    """A fingerprint of ``LANES`` words from the distinct shingles, and the block keys."""
-    distinct = np.unique(hashes)
+
+def block_keys(distinct: np.ndarray, similarity: float) -> list[int]:
+    """Keys of which two texts of that similarity have one in common: odd ones for two of up to
+    ``SHORT`` shingles, even ones for two of which one has more.
+
+    Short: the smallest shingle hashes, one more than the larger set may lack; that misses none.
+    """
+    count, rows = len(distinct), rows_of(similarity)
+    keys = []
+    if count <= SHORT or not rows:
+        prefix = count - math.ceil(similarity * count - 1e-9) + 1
+        keys += [xxhash.xxh64_intdigest(h.tobytes(), KEYS) | 1 for h in distinct[:prefix]]
+    if rows and count >= similarity * (SHORT + 1) - 1e-9:
+        least = np.full(rows * KEYS, FULL)
+        mixers = MIXERS[None, LANES : LANES + rows * KEYS]
+        for first in range(0, count, 2048):
+            part = distinct[first : first + 2048, None] * mixers
+            least = np.minimum(least, part.min(axis=0))
+        for i, row in enumerate(least.reshape(KEYS, -1)):
+            keys.append(xxhash.xxh64_intdigest(row.tobytes(), i) & ~1)
+    return [signed(k) for k in keys]
+
+
+def wide_print(distinct: np.ndarray) -> bytes:
+    """A fingerprint of ``LANES`` words from the distinct shingles."""
     if not len(distinct):
-        return bytes(8 * LANES), []
-    least = np.full(ROWS * KEYS, FULL)
+        return bytes(8 * LANES)
     carried = []
     for first in range(0, len(distinct), 2048):
-        part = distinct[first : first + 2048, None] * MIXERS[None]
+        part = distinct[first : first + 2048, None] * MIXERS[None, :LANES]
         part ^= part >> np.uint64(32)
-        carried.append(part[:, :LANES] * MIXERS[0])
-        least = np.minimum(least, part[:, LANES:].min(axis=0))
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(KEYS, -1))]
-    return majority(np.concatenate(carried)).tobytes(), [signed(k) for k in keys]
+        carried.append(part * MIXERS[0])
+    return majority(np.concatenate(carried)).tobytes()
+
+
+def alike(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links (position, position of the first of its group) that join all sets (without repeats,
+    none empty) of at least that Jaccard similarity."""
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    known, members = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(known), bool)
+    left, rest = np.arange(len(sets)), members  # not yet reached, and their members
+
+    def drop(gone: np.ndarray) -> None:
+        nonlocal left, rest
+        rest = rest[np.repeat(~gone, sizes[left])]
+        left = left[~gone]
+
+    links = []
+    while len(left):
+        first = int(left[0])
+        queue = [first]
+        drop(left == first)
+        while queue and len(left):
+            at = queue.pop()
+            own = members[ends[at] - sizes[at] : ends[at]]
+            marked[own] = True
+            starts = np.cumsum(sizes[left]) - sizes[left]
+            both = np.add.reduceat(marked[rest], starts, dtype=np.int64)
+            marked[own] = False
+            near = both / (sizes[left] + sizes[at] - both) >= similarity
+            if near.any():
+                fresh = left[near].tolist()
+                links += [(i, first) for i in fresh]
+                queue += fresh
+                drop(near)
+    return links
+
+
+def settled_pairs(
+    documents: DataFrame, texts: DataFrame, groups: DataFrame, shingle: int, similarity: float
+) -> DataFrame:
+    """Links (a, b) between the keys of texts of that similarity, by their sets of shingles.
+
+    ``documents`` has at, key and text, ``texts`` key, least (the smallest at) and n (shingles),
+    ``groups`` node (a key) and root. All pairs of a group are compared, but for such as are
+    joined already. Groups too large for one task are dealt out to tiles.
+    """
+    members = texts.join(groups, F.col("key") == F.col("node")).select("key", "least", "n", "root")
+    parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES))
+    large = members.groupBy("root").agg(parts.cast("int").alias("__parts")).where("__parts > 1")
+    owners = members.select(F.col("key").alias("own"), "least")
+    found = documents.join(owners, (F.col("key") == F.col("own")) & (F.col("at") == F.col("least")))
+    found = found.select("key", "text").dropDuplicates(["key"])
+    met = found.join(in_tiles(members.select("key", "root"), large, "root", "key"), "key")
+    met = met.repartition("root", "tile").sortWithinPartitions("root", "tile", "key")
+    met = met.select("root", "tile", "key", "text")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(first, SLICE_ROWS)
+                yield from zip(*[c.to_pylist() for c in part.columns], strict=True)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows(batches), lambda row: row[:2]):
+            keys, sets = [], []
+            for _, _, key, text in group:
+                keys.append(key)
+                sets.append(np.unique(shingle_hashes(text, shingle)))
+            links = alike(sets, similarity)
+            if links:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i[side]] for i in links], pa.binary()) for side in (0, 1)],
+                    ["a", "b"],
+                )
+
+    return map_batches(met, "a binary, b binary", compare)
 
 
 def one_of_each(
@@ -343,20 +487,23 @@ def one_of_each(
     """The documents without near-duplicates: of each group the one with the smallest id stays,
     all columns.
 
-    Texts are alike if their fingerprints of 1,024 bits over sets of ``shingle`` words differ as
-    little as those of texts of that Jaccard similarity do (one standard error is allowed for).
-    Such a radius is too wide for bands of bits, so blocks are formed by smallest hashes of
-    shingles instead: two texts at the limit meet in one of them at 0.998 or more.
+    Texts are alike if the sets of their runs of ``shingle`` words have at least that Jaccard
+    similarity. Groups to be compared come from fingerprints of 1,024 bits, at a radius with
+    ``SPARE`` standard errors to spare. Such a radius is too wide for bands of bits, so blocks
+    are formed by smallest hashes of shingles instead (``block_keys``). The sets decide then.
 
     Equal texts are one text, whatever their length. Null ids come last; of rows with one id and
     one text, one stays. Texts without a word only match equal texts; null counts as empty.
     """
-    radius = radius_of(similarity, 64 * LANES)
+    radii = [radius_of(similarity, 64 * LANES, short) for short in (False, True)]
+    if not rows_of(similarity):  # all texts have odd keys
+        radii[1] = max(radii)
 
     def start() -> Callable[[list], list]:
         def work(texts: list) -> list:
-            made = [wide_print(shingle_hashes(t, shingle)) for t in texts]
-            return [[m[0] for m in made], [m[1] for m in made]]
+            sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
+            keys = [block_keys(s, similarity) if len(s) else [] for s in sets]
+            return [[wide_print(s) for s in sets], [len(s) for s in sets], keys]
 
         return work
 
@@ -369,11 +516,15 @@ def one_of_each(
     )
     fields = [
         ("print", "binary", pa.binary()),
+        ("n", "bigint", pa.int64()),
         ("blocks", "array<bigint>", pa.list_(pa.int64())),
     ]
     survey = settled(map_texts(rows, "text", fields, start))
     texts = survey.groupBy("key").agg(
-        F.min("at").alias("least"), F.first("print").alias("print"), F.first("blocks").alias("b")
+        F.min("at").alias("least"),
+        F.first("print").alias("print"),
+        F.first("n").alias("n"),
+        F.first("blocks").alias("b"),
     )
     texts = settled(texts)
     blocked = texts.select("key", F.explode("b").alias("block"))
@@ -385,16 +536,21 @@ def one_of_each(
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, ["block", "tile"]):
-            keys, at = np.unique(part["key"], return_index=True)
-            prints = np.frombuffer(b"".join(part["print"][at]), np.uint64).reshape(-1, LANES)
-            links = forest(prints, radius, SIEVE)
-            if links:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i[side]] for i in links], pa.binary()) for side in (0, 1)],
-                    ["a", "b"],
-                )
-
-    roots = components(map_batches(met, "a binary, b binary", compare), "a", "b")
+            for short, radius in enumerate(radii):
+                own = (part["block"] & 1) == short
+                keys, at = np.unique(part["key"][own], return_index=True)
+                prints = b"".join(part["print"][own][at])
+                prints = np.frombuffer(prints, np.uint64).reshape(-1, LANES)
+                links = forest(prints, radius, SIEVE)
+                if links:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([keys[i[side]] for i in links], pa.binary()) for side in (0, 1)],
+                        ["a", "b"],
+                    )
+
+    groups = components(map_batches(met, "a binary, b binary", compare), "a", "b")
+    links = settled_pairs(rows, texts.select("key", "least", "n"), groups, shingle, similarity)
+    roots = components(links, "a", "b")
     rooted = texts.select("key", "least").join(roots, F.col("key") == F.col("node"), "left")
     rooted = rooted.select("key", "least", F.coalesce("root", "key").alias("root"))
     # The first text of each group, by id and then by content.

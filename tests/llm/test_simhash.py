@@ -168,3 +168,94 @@ def test_groups_agree_with_exact_similarity(spark):
         if similarity >= 0.6:
             near |= {a, b}
     assert set(sets) - kept <= near
+
+
+def brute_force_kept(rows, similarity=0.8):
+    """The smallest id of each group of texts of that Jaccard similarity, by all pairs."""
+    sets, holders = {}, {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        sets[i] = {b" ".join(words[k : k + 5]) for k in range(max(len(words) - 4, 1))}
+        for shingle in sets[i]:
+            holders.setdefault(shingle, []).append(i)
+    alike = {}
+    for ids in holders.values():
+        for a in ids:
+            for b in ids:
+                if a < b:
+                    alike[a, b] = alike.get((a, b), 0) + 1
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (a, b), both in alike.items():
+        if both / (len(sets[a]) + len(sets[b]) - both) >= similarity:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return sorted(i for i in sets if root[i] == i)
+
+
+def texts_at_the_limit():
+    """Pairs whose sets of five-word shingles share ``both``, with own ones on each side."""
+    draw = np.random.default_rng(8)
+
+    def fresh(count):
+        return [f"w{n}" for n in draw.integers(0, 1 << 60, count)]
+
+    rows = []
+    # 0.8 or a little more, and a little less: both, own of the first, own of the second.
+    for both, one, other in [
+        (4, 1, 0), (6, 1, 0), (12, 3, 0), (20, 5, 0), (56, 14, 0), (64, 8, 8), (400, 50, 50),
+        (3, 1, 0), (11, 3, 0), (19, 5, 0), (55, 14, 0), (63, 8, 8), (399, 50, 50), (375, 62, 62),
+    ]:
+        for _ in range(12):
+            middle = fresh(both + 4)
+            for text in ([*middle, *fresh(one)], [*fresh(other), *middle]):
+                rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("tile", [2048, 4])
+def test_the_limit_itself_decides(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rows = texts_at_the_limit()
+    draw = np.random.default_rng(2)
+    # One group, in which similarity leads from text to text.
+    words = [f"v{n}" for n in draw.integers(0, 1 << 60, 400)]
+    for first in range(0, 60, 3):
+        rows.append((len(rows), " ".join(words[first : first + 60])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.one_of_each(frame, "doc_id", "text").collect())
+    assert kept == brute_force_kept(rows)
+
+
+def test_groups_are_those_of_exact_similarity(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = sorted(r.doc_id for r in simhash.one_of_each(documents, "doc_id", "text").collect())
+    first = {}  # of equal texts the smallest id
+    for row in documents.collect():
+        first[row.text] = min(row.doc_id, first.get(row.text, row.doc_id))
+    assert kept == brute_force_kept([(i, t) for t, i in first.items()])
+
+
+def test_sets_are_joined_like_all_pairs():
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(draw.choice(base, draw.integers(1, 60), replace=False)) for _ in range(150)]
+    root = list(range(150))
+    for i in range(150):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both / (len(sets[i]) + len(sets[j]) - both) >= 0.8:
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    found = list(range(150))
+    for a, b in simhash.alike(sets, 0.8):
+        found[a] = b
+    groups = {}
+    for i, r in enumerate(root):
+        groups.setdefault(r, set()).add(found[i])
+    assert all(len(g) == 1 for g in groups.values()) and len(set(found)) == len(groups)
