@@ -183,6 +183,13 @@ def scan(
         return _scan(rows, parts[0], window)
     keyed = rows.withColumn("key", content_key(F.col("text")))
     ids = settled(keyed.select("doc_id", "key"))
+    by_text = _scan_in_parts(keyed, parts, window)
+    return ids.join(by_text, "key").select("doc_id", "n_words", "hits", "items")
+
+
+def _scan_in_parts(keyed: DataFrame, parts: list[DataFrame], window: int) -> DataFrame:
+    """Per distinct text of ``keyed`` (key, text): key, n_words and the hits and items of all
+    parts in the text as it is."""
     distinct = keyed.groupBy("key").agg(F.first("text").alias("text"))
     found = None
     for part in parts:
@@ -197,8 +204,7 @@ def scan(
         F.collect_list("hits").alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    by_text = by_text.withColumn("hits", merge("hits"))
-    return ids.join(by_text, "key").select("doc_id", "n_words", "hits", "items")
+    return by_text.withColumn("hits", merge("hits"))
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -226,16 +232,31 @@ def clean(
 ) -> DataFrame:
     """The documents with every passage of an item cut out of the text; no row goes.
 
-    All columns stay. A text without a hit stays as it is, a null stays null.
+    All columns stay. A text without a hit stays as it is, a null stays null. All items are
+    looked for in the text as it was, in however many parts, before anything is cut.
     """
-    frame = documents
     bench = items.select(
         F.col(quoted(item_id)).cast("bigint").alias("item_id"),
         F.col(quoted(item_text)).alias("text"),
     )
-    for part in _parts(bench, most_bytes):
-        frame = _cut(frame, text, part, window)
-    return frame
+    parts = _parts(bench, most_bytes)
+    if len(parts) == 1:
+        return _cut(documents, text, parts[0], window)
+    content = F.col(quoted(text))
+    keyed = documents.select(content_key(content).alias("key"), content.alias("text"))
+    by_text = _scan_in_parts(keyed, parts, window).where(F.size("hits") > 0)
+    by_text = by_text.select(F.col("key").alias("__key"), F.col("hits").alias("__hits"))
+
+    def without(value: str | None, hits: list[int] | None) -> str | None:
+        if hits is None or not len(hits):
+            return value
+        ranges = list(zip(hits[::2], hits[1::2], strict=True))
+        return cut_out(value, character_spans(value, ranges))
+
+    cut = F.udf(without, "string", useArrow=True)
+    joined = documents.withColumn("__key", content_key(content)).join(by_text, "__key", "left")
+    made = joined.withColumn(text, cut(content, F.col("__hits")))
+    return made.select(*[quoted(c) for c in documents.columns])
 
 
 def _cut(frame: DataFrame, text: str, items: DataFrame, size: int) -> DataFrame:

@@ -98,3 +98,22 @@ def test_query(spark):
     found = as_rows(QUERIES["op7_decontamination"](spark, SMALL))
     assert found == slow(read("documents"), read("benchmark"))
     assert any(r[-1] for r in found)
+
+
+@pytest.mark.parametrize("most", [decontamination.MOST_ITEM_BYTES, 30])
+def test_overlapping_items_in_several_parts(spark, most):
+    """A stem with many answers, and items whose windows only meet in the cut text."""
+    stem = " ".join(f"stem{i}" for i in range(12))
+    items = [(i, f"{stem} answer{i} last{i}") for i in range(8)]
+    items += [(20, "left right"), (21, "cut me")]
+    documents = [(i, f"Begin, {stem} answer{i} last{i}; end") for i in range(8)]
+    documents += [(30, "left cut me right"), (31, None), (32, "Nothing, here."), (33, "")]
+    schema = "item_id long, text string, key string, hits string"
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame([(i, t, "k", "h") for i, t in documents], schema)
+    left = decontamination.clean(frame, "text", bench, "item_id", "text", 10, most)
+    assert left.columns == frame.columns
+    wanted = [(i, "Begin, ; end", "k", "h") for i in range(8)]
+    wanted += [(30, "left right", "k", "h"), (31, None, "k", "h")]
+    wanted += [(32, "Nothing, here.", "k", "h"), (33, "", "k", "h")]
+    assert sorted(map(tuple, left.collect())) == wanted
