@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lagline.llm import (
     automata,
     bpe,
     decontamination,
+    hard_negatives,
     links,
     personal,
     rabitq,
     ring,
     simhash,
+    simplex,
     suffixes,
     toxicity,
 )
@@ -214,3 +217,69 @@ def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.passages(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@checked_by("""
+  WITH kept AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+  pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+           coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT
+             AS score
+    FROM kept AS a JOIN kept AS b
+      ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+  positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER
+           AS rank
+  FROM positives JOIN pairs USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+  QUALIFY rank <= 3""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings")
+    return hard_negatives.mine(vectors, "vec_id", "embedding", moved, "vec_id % 50 = 0")
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Assignments and new centroids, one table after the other."""
+    tables = []
+    for n in range(rounds + 1):
+        tables.append(f"""a{n} AS (
+    SELECT id, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d) AS distance,
+           arg_min(c, (d, c)) AS c
+    FROM (SELECT id, vec_id, v, c,
+                 list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) ** 2))::BIGINT AS d
+          FROM kept, c{n}) GROUP BY id)""")
+        if n < rounds:
+            tables.append(f"""c{n + 1} AS (
+    SELECT c, coalesce(any_value(moved), any_value(m)) AS m
+    FROM c{n} LEFT JOIN (
+      SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved
+      FROM (SELECT c, i, sum(v[i])::BIGINT AS s, count(*) AS n
+            FROM a{n}, range(1, 65) AS t(i) GROUP BY c, i) GROUP BY c) USING (c) GROUP BY c)""")
+    return ",\n  ".join(tables)
+
+
+@checked_by(f"""
+  WITH kept AS (
+    SELECT row_number() OVER () AS id, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+  c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS m
+    FROM kept WHERE vec_id IS NOT NULL ORDER BY sha256('1:' || vec_id), v LIMIT 16),
+  {_centroid_rounds(3)}
+  SELECT vec_id, c::INTEGER AS cluster, distance,
+         sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+         sum(distance) OVER ()::BIGINT AS inertia,
+         sha256(array_to_string(m, ',')) AS centroid_sha256
+  FROM a3 JOIN c3 USING (c)""")
+def op13_simplex_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return simplex.cluster(table(spark, folder, "embeddings"), "vec_id", "embedding")
