@@ -17,6 +17,7 @@ from lagline.llm import (
     personal,
     rabitq,
     ring,
+    set_join,
     simhash,
     simplex,
     suffixes,
@@ -246,6 +247,31 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(vectors, "vec_id", "embedding", moved, "vec_id % 50 = 0")
 
 
+@checked_by(r"""
+  WITH RECURSIVE folded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x20\x09-\x0D]+') AS w FROM documents),
+  shingles AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(w[s : s + 4], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s
+          FROM folded WHERE len(w) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  overlap AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles AS a JOIN shingles AS b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  links AS (
+    SELECT x, y FROM overlap JOIN sizes AS a ON x = a.doc_id JOIN sizes AS b ON y = b.doc_id
+    WHERE 100 * overlap.n >= 80 * (a.n + b.n - overlap.n)),
+  reached AS (
+    SELECT doc_id, doc_id AS root FROM documents UNION
+    SELECT y, root FROM reached JOIN links ON doc_id = x)
+  SELECT doc_id, any_value(coalesce(n, 0))::BIGINT AS n_shingles, min(root) AS component_id
+  FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""")
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return set_join.join(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def _centroid_rounds(rounds: int) -> str:
     """Assignments and new centroids, one table after the other."""
     tables = []
