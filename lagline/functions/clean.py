@@ -14,28 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Patterns and replacements that must be as they are for right results.
-# Layouts of times, in order: each pattern and what it becomes, up to year-month-day, clock and
-# offset. A date is year, month, day with - or /, or eight digits, or month/day/year (day first
-# if the first number cannot be a month), or year and month, or a year; a zone needs a clock.
-TIME_LAYOUTS = [
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)", "$1-$2-$3"),
-    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
-    (r"^(1[3-9]|[23]\d)/(\d{1,2})/(\d{4})(?!\d)", "$3-$2-$1"),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2"),
-    (r"^(\d{4})$", "$1-01"),
-    (r"^(\d{4}-\d{1,2})$", "$1-01"),
-    (r"^(\d{4}-\d{1,2}-\d{1,2})$", "$1 00:00:00"),
-    (r"^(\S+?)(?:[tT]|\s+)(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)", "$1 $2"),
-    (r"^(\S+ \d{1,2}:\d{2})(?![\d:.])", "$1:00"),
-    (r"(?i)(:[\d.]+)\s*(?:z|utc|gmt)$", "$1+00:00"),
-    (r"(:[\d.]+)\s*([+-]\d{2}):?(\d{2})$", "$1$2:$3"),
-    (r"(:[\d.]+)\s*([+-]\d{2})$", "$1$2:00"),
-    (r"^([^:]+ [\d:.]+)$", "$1+00:00"),
-]
+# Layouts of times. A date is year, month, day with - or /, or eight digits, or month/day/year (day
+# first if the first number cannot be a month); without a clock also year and month, or a year.
+# A clock is hours and minutes, or more, after T or blanks; a zone needs a clock.
+YEAR_FIRST = r"(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
+COMPACT = r"(\d{4})(\d\d)(\d\d)"
+DAY_FIRST = r"(1[3-9]|[23]\d)/(\d{1,2})/(\d{4})"
+MONTH_FIRST = r"(\d{1,2})/(\d{1,2})/(\d{4})"
+CLOCK = r"(?:[tT]|\s+)(\d{1,2}:\d\d(?::\d\d(?:\.\d+)?)?)"
+ZONE = r"\s*(?:[zZ]|[uU][tT][cC]|[gG][mM][tT]|([+-](?:0\d|1[0-7]|18(?!:?[0-5]?[1-9])))(?::?([0-5]\d))?)"
+DATE_ALONE = r"(\d{4})(?:-(\d{1,2}))?"
 TIME_TEXT = (
-    r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2}:\d{2})$"
+    f"^(?:(?:{YEAR_FIRST}|{COMPACT}|{DAY_FIRST}|{MONTH_FIRST})(?:{CLOCK}(?:{ZONE})?)?"
+    f"|{DATE_ALONE})$"
 )
-BLANK_ENDS = r"^\s+|\s+$"
+# The same text as " year-month-day clock|zone hours:minutes".
+TIME_PARTS = " $1$5$10$13$17-$3$6$9$11$18-$4$7$8$12 $14|$15:$16"
+BLANKS = " \t\n\x0b\f\r"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITE = r"^[+-]?(?i:inf|infinity)$"
 LABEL_REPLACEMENTS = {"PM2,5": "PM2.5", "pm2,5": "PM2.5"}
@@ -69,16 +64,16 @@ def epoch_micros(time: Column) -> Column:
 def parse_time(column: Column, kind: T.DataType) -> Column:
     """Any time-like column to UTC wall clock; what cannot be read becomes null.
 
-    Text is read in the layouts of ``TIME_LAYOUTS``; anything else, such as an unknown zone,
+    Text is read in the layouts of ``TIME_TEXT``; anything else, such as an unknown zone,
     becomes null (see :func:`unread_times`). Text without a zone is taken as UTC, numbers
-    as nanoseconds since 1970.
+    as nanoseconds since 1970. For text in many rows see :func:`with_times`.
     """
     if isinstance(kind, T.TimestampNTZType):
         return column
     if isinstance(kind, T.TimestampType):
         return instant_to_utc(column)
     if isinstance(kind, T.StringType):
-        return parse_time_text(F.regexp_replace(column, BLANK_ENDS, ""))
+        return time_of_parts(time_parts(column))
     if isinstance(kind, T.DateType):
         return column.cast("timestamp_ntz")
     if isinstance(kind, T.NumericType):
@@ -87,30 +82,38 @@ def parse_time(column: Column, kind: T.DataType) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
-def parse_time_text(text: Column) -> Column:
-    """Text without blanks around it to UTC wall clock."""
-    for pattern, becomes in TIME_LAYOUTS:
-        text = F.regexp_replace(text, pattern, becomes)
-    return instant_to_utc(F.regexp_extract(text, TIME_TEXT, 1).try_cast("timestamp"))
+def time_parts(text: Column) -> Column:
+    """``TIME_PARTS`` of a text that is a time; another text does not begin with a blank."""
+    return F.regexp_replace(F.btrim(text, F.lit(BLANKS)), TIME_TEXT, TIME_PARTS)
+
+
+def time_of_parts(parts: Column) -> Column:
+    """The wall clock in UTC of what :func:`time_parts` returns."""
+    wall = F.rtrim(F.substring_index(parts, "|", 1), F.lit(" -")).try_cast("timestamp_ntz")
+    zone = F.substring_index(parts, "|", -1)  # hours:minutes, or only the colon
+    minutes = F.when(F.length(zone) == 6, F.substring(zone, 5, 2).cast("int")).otherwise(0)
+    sign = F.when(F.startswith(zone, F.lit("-")), -1).otherwise(1)
+    ahead = F.make_dt_interval(F.lit(0), F.substring(zone, 1, 3).cast("int"), sign * minutes)
+    moved = F.when(F.length(zone) == 1, wall).otherwise(wall - ahead)
+    return F.when(F.startswith(parts, F.lit(" ")), moved)
 
 
 def unread_times(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """One row: how many cells of each column hold something that is not read as a time."""
-    return df.agg(
-        *[
-            F.count_if(
-                F.col(quoted(n)).isNotNull()
-                & parse_time(F.col(quoted(n)), df.schema[n].dataType).isNull()
-            ).alias(n)
-            for n in names
-        ]
-    )
+    names = list(names)
+    was = [F.col(quoted(n)).alias(f"__was{i}") for i, n in enumerate(names)]
+    read = with_times(df.select(*was, *map(quoted, names)), names)
+    lost = [
+        F.count_if(F.col(f"__was{i}").isNotNull() & F.col(quoted(n)).isNull()).alias(n)
+        for i, n in enumerate(names)
+    ]
+    return read.agg(*lost)
 
 
 def parse_number(column: Column, kind: T.DataType) -> Column:
     """Any column to double; what is not a number becomes null."""
     if isinstance(kind, T.StringType):
-        text = F.regexp_replace(column, BLANK_ENDS, "")
+        text = F.btrim(column, F.lit(BLANKS))
         usable = text.rlike(NUMBER) | text.rlike(INFINITE)
         return F.when(usable, text.try_cast("double"))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
@@ -125,9 +128,21 @@ def quoted(name: str) -> str:
 
 
 def with_times(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns(
-        {n: parse_time(F.col(quoted(n)), df.schema[n].dataType) for n in names}
-    )
+    """Columns as times, in place. A text is read once, also if a later filter asks for it."""
+    kinds = {n: df.schema[n].dataType for n in names}
+    times = {n: parse_time(F.col(quoted(n)), k) for n, k in kinds.items()}
+    rows = df
+    for i, n in enumerate(kinds):
+        if isinstance(kinds[n], T.StringType):
+            rows = bound(rows, f"__parts{i}", time_parts(F.col(quoted(n))))
+            rows = bound(rows, f"__time{i}", time_of_parts(F.col(f"__parts{i}")))
+            times[n] = F.col(f"__time{i}")
+    return rows.select(*[times.get(c, F.col(quoted(c))).alias(c) for c in df.columns])
+
+
+def bound(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a column that is worked out once per row; filters on it do not move below."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
 
 
 def with_numbers(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -156,7 +171,7 @@ def standard_rows(df: DataFrame, time: str = "datetime", value: str = "value") -
 
 def normal_label(label: Column) -> Column:
     """Trimmed, upper-case label with the decimal comma repaired."""
-    text = F.regexp_replace(label.cast("string"), BLANK_ENDS, "")
+    text = F.btrim(label.cast("string"), F.lit(BLANKS))
     for old, new in LABEL_REPLACEMENTS.items():
         text = F.replace(text, F.lit(old), F.lit(new))
     return F.upper(text)
