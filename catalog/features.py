@@ -27,7 +27,13 @@ from lagline.functions.clean import (
 from lagline.functions.history import mean_before_newest
 from lagline.operators.joins import attach_weather, time_grid
 from lagline.operators.metrics import scaler
-from lagline.operators.series import exact_quantiles, match_keys, with_position
+from lagline.operators.series import (
+    attach_by_key,
+    exact_quantiles,
+    match_keys,
+    quantiles,
+    with_position,
+)
 from lagline.operators.windows import median_gap, sequences, window_features
 from lagline.plans.features import (
     DAILY_LAGS,
@@ -320,3 +326,24 @@ def rolling_state(spark, folder):
   FROM (SELECT station_id, max(datetime) AS last FROM readings GROUP BY 1), range(1, 8) t(i)""")
 def future_grid(spark, folder):
     return future_times(readings(spark, folder), ["station_id"], 7, "D")
+
+
+@query("""SELECT event_type AS pollutant, CAST(p AS DOUBLE) AS p, count(value) AS n_rows,
+         true AS within
+  FROM events, (VALUES (0.01), (0.25), (0.5), (0.95)) AS t(p) GROUP BY 1, 2""")
+def sketch_quantiles(spark, folder):
+    """Whether the true ranks of the sketch's quantiles are within its error."""
+    rows = readings(spark, folder).select("pollutant", "value")
+    shares, error = [0.01, 0.25, 0.5, 0.95], 0.001
+    found = quantiles(rows, ["pollutant"], "value", shares, "at", "sketch", error)
+    ranked = attach_by_key(rows, found, ["pollutant"])
+    pairs = F.arrays_zip(F.array(*map(F.lit, shares)).alias("p"), F.col("at").alias("q"))
+    ranked = ranked.select("pollutant", "value", F.inline(pairs).alias("p", "q"))
+    counts = ranked.groupBy("pollutant", "p").agg(
+        F.count("value").alias("n_rows"),
+        F.count_if(F.col("value") < F.col("q")).alias("below"),
+        F.count_if(F.col("value") <= F.col("q")).alias("upto"),
+    )
+    wanted, room = F.col("p") * F.col("n_rows"), F.col("n_rows") * error + 1
+    within = (F.col("below") <= wanted + room) & (F.col("upto") >= wanted - room)
+    return counts.select("pollutant", "p", "n_rows", within.alias("within"))

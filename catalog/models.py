@@ -1,5 +1,7 @@
 """Training, forecasting and scoring."""
 
+from datetime import timedelta
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -16,19 +18,24 @@ from catalog.registry import (
     rounded,
 )
 from lagline.functions.clean import present
+from lagline.operators.metrics import scaler
 from lagline.operators.windows import window_features
 from lagline.plans.daily import daily_run as run_daily
 from lagline.plans.features import daily_features, hourly_features
 from lagline.plans.forecasting import (
     choose_history,
+    forecast_files,
     forecast_forest,
     forecast_seasonal,
     forecast_sequence,
 )
-from lagline.plans.models import Scaling, SequenceModel
+from lagline.plans.models import Scaling, SequenceModel, load_model, save_model, write_parts
+from lagline.plans.per_series import fit_per_series, rolling_backtest as backtest
+from lagline.plans.state import state_rows, update_state
 from lagline.plans.scoring import score_rows
 from lagline.plans.training import train, train_forest, train_seasonal, train_sequence
 from lagline.session import scratch_path
+from lagline.sources.versions import new_version, versions
 from lagline.sources.sinks import write_parquet
 
 KEY = ["pollutant"]
@@ -263,3 +270,144 @@ def daily_backtest(spark, folder):
         truth_paths=paths[1:], seq_len=7,
     )
     return _stages(spark, run)
+
+
+@query(f"""WITH {DAILY},
+  stats AS (SELECT pollutant, avg(value) AS mean, stddev_pop(value) + 1e-8 AS std,
+                   arg_max(value, datetime) AS newest, max(datetime) AS last
+            FROM daily GROUP BY 1)
+  SELECT pollutant, last + INTERVAL 1 DAY AS datetime,
+         round(mean + std * (0.25 + 0.5 * (newest - mean) / (std + 1e-8)), 6) AS forecast,
+         CAST(4 AS BIGINT) AS folders, CAST(3 AS BIGINT) AS complete
+  FROM stats""")
+def model_versions(spark, folder):
+    """A model saved twice, half saved, loaded, saved where it came from, and used."""
+    days, path = daily(spark, folder), scratch_path(spark, "model")
+    scaling = Scaling(KEY, 0.0, 1.0, scaler(days, KEY))
+    save_model(spark, SequenceModel(1, [0.9], 0.0, scaling), path)
+    save_model(spark, SequenceModel(1, [0.5], 0.25, scaling), path)
+    write_parts(SequenceModel(1, [0.1], 0.0, scaling), new_version(path))  # a writer that died
+    save_model(spark, load_model(spark, path), path)
+    found = versions(spark, path)
+    made = forecast_sequence(load_model(spark, path), days, KEY, 1).rows
+    counts = {"folders": len(found), "complete": sum(done for _, done in found)}
+    return as_bigint(
+        rounded(made, ["forecast"]).withColumns({n: F.lit(v) for n, v in counts.items()}), counts
+    )
+
+
+@query(f"""WITH {READINGS},
+  ranked AS (SELECT *, row_number() OVER (
+      PARTITION BY station_id ORDER BY datetime DESC) AS r FROM readings)
+  SELECT station_id, count(*) AS n_values, max(datetime) AS last_time,
+         min(datetime) AS first_time, round(sum(value), 6) AS total
+  FROM ranked WHERE r <= 12 GROUP BY 1""")
+def history_state(spark, folder):
+    """The newest 12 values per station, from three loads of which the later come first."""
+    rows, path = readings(spark, folder), scratch_path(spark, "state")
+    third = F.pmod(F.xxhash64("datetime", "station_id"), F.lit(3))
+    for part in (2, 0, 1):
+        state = update_state(spark, path, rows.where(third == part), ["station_id"], 12)
+    values = state_rows(state, ["station_id"]).groupBy("station_id")
+    return values.agg(
+        F.count("value").alias("n_values"),
+        F.max("datetime").alias("last_time"),
+        F.min("datetime").alias("first_time"),
+        F.round(F.sum("value"), 6).alias("total"),
+    )
+
+
+@query(f"""WITH RECURSIVE {DAILY},
+  ranked AS (SELECT *, row_number() OVER (
+      PARTITION BY pollutant ORDER BY datetime DESC) AS r FROM daily),
+  start AS (
+    SELECT pollutant, max(datetime) AS last,
+           (max(value) FILTER (r = 3) - 50.0) / (20.0 + 1e-8) AS z3,
+           (max(value) FILTER (r = 2) - 50.0) / (20.0 + 1e-8) AS z2,
+           (max(value) FILTER (r = 1) - 50.0) / (20.0 + 1e-8) AS z1
+    FROM ranked WHERE r <= 3 GROUP BY 1 HAVING count(*) >= 3),
+  steps AS (
+    SELECT pollutant, last, 0 AS step, z3, z2, z1 FROM start
+    UNION ALL
+    SELECT pollutant, last, step + 1, z2, z1, 0.2 * z3 + 0.3 * z2 + 0.4 * z1 + 0.05
+    FROM steps WHERE step < 7)
+  SELECT pollutant, last + to_days(CAST(step AS INTEGER)) AS datetime,
+         round(z1 * 20.0 + 50.0, 6) AS forecast
+  FROM steps WHERE step > 0""")
+def state_forecast(spark, folder):
+    """The forecast job over a kept state and, the second time, the one newest day only."""
+    days = daily(spark, folder)
+    last = days.agg(F.max("datetime")).first()[0]
+    model = SequenceModel(3, [0.2, 0.3, 0.4], 0.05, Scaling([], 50.0, 20.0))
+    state, log = scratch_path(spark, "state"), scratch_path(spark, "runs")
+    for part in (F.col("datetime") < F.lit(last), F.col("datetime") == F.lit(last)):
+        path = write_parquet(days.where(part), scratch_path(spark, "days"))
+        out = scratch_path(spark, "forecast")
+        made = forecast_files(spark, model, [path], out, log, KEY, history_window=3, state=state)
+    return rounded(made, ["forecast"])
+
+
+@query(f"""WITH {READINGS}, pairs AS (
+    SELECT station_id, value, lag(value) OVER (PARTITION BY station_id ORDER BY datetime) AS lag_1
+    FROM readings)
+  SELECT station_id, count(*) AS n_rows, round(regr_intercept(value, lag_1), 6) AS intercept,
+         round(regr_slope(value, lag_1), 6) AS weight
+  FROM pairs WHERE lag_1 IS NOT NULL GROUP BY 1 HAVING count(*) > 2""")
+def fit_by_station(spark, folder):
+    """An autoregression of its own for every station."""
+    rows = window_features(readings(spark, folder), ["station_id"], ["datetime"], lags=[1])
+    fitted = fit_per_series(rows, ["station_id"], ["lag_1"], "value").where("n_rows > 2")
+    made = fitted.withColumn("weight", F.get("weights", F.lit(0))).drop("weights")
+    return rounded(made, ["intercept", "weight"])
+
+
+@query(f"""WITH {DAILY},
+  edge AS (SELECT max(datetime) AS last FROM daily),
+  cuts AS (SELECT last - to_days(CAST(d AS INTEGER)) AS cut
+           FROM edge, (VALUES (3), (8), (14), (20)) AS t(d)),
+  pairs AS (SELECT *, lag(value) OVER (PARTITION BY pollutant ORDER BY datetime) AS lag_1
+            FROM daily),
+  fits AS (
+    SELECT pollutant, cut, count(*) AS n_train, regr_slope(value, lag_1) AS b,
+           regr_intercept(value, lag_1) AS a, max(datetime) AS last,
+           arg_max(value, datetime) AS v
+    FROM pairs, cuts WHERE datetime <= cut AND lag_1 IS NOT NULL GROUP BY 1, 2),
+  made AS (
+    SELECT pollutant, cut, n_train, last + to_days(CAST(h AS INTEGER)) AS datetime,
+           CASE h WHEN 1 THEN a + b * v WHEN 2 THEN a + b * (a + b * v)
+                  ELSE a + b * (a + b * (a + b * v)) END AS forecast
+    FROM fits, range(1, 4) AS t(h))
+  SELECT pollutant, cut, any_value(n_train) AS n_train, count(value) AS n_points,
+         round(avg(abs(value - forecast)), 6) AS mae,
+         round(sqrt(avg((value - forecast) ** 2)), 6) AS rmse
+  FROM made LEFT JOIN daily USING (pollutant, datetime) GROUP BY 1, 2""")
+def rolling_backtest(spark, folder):
+    """Four cut dates at once: a fit, a three-day forecast and its errors for each."""
+    days = daily(spark, folder)
+    last = days.agg(F.max("datetime")).first()[0]
+    cuts = [last - timedelta(days=d) for d in (3, 8, 14, 20)]
+    return rounded(backtest(days, cuts, KEY, lags=1, horizon=3), ["mae", "rmse"])
+
+
+@query("""SELECT 'trend' AS term, true AS holds UNION ALL
+  SELECT 'bend_' || i, true FROM range(1, 26) AS t(i)""")
+def sparse_bends(spark, folder):
+    """Where the penalised fit is best: no term pulls harder than the penalty, and those in
+    use pull just as hard."""
+    penalty = 0.002
+    trained = train_seasonal(hourly(spark, folder), KEY, components=(), sparse=penalty)
+    design, weights = trained.model.design, trained.model.weights
+    rows = trained.model.scaling.attach(trained.scored.where("slice = 'train'"))
+    residual = (F.col("value") - F.col("forecast")) / F.col("std")
+    names = ["trend", *[f"bend_{i + 1}" for i in range(len(design.changepoints))]]
+    pulls = dict(zip(names, design.columns(F.col("datetime")), strict=True))
+    found = rows.agg(*[F.avg(residual * p).alias(n) for n, p in pulls.items()]).first()
+    used = dict(zip(names, weights, strict=True))
+    out = []
+    for name in names:
+        room = penalty if name != "trend" else 0.0
+        holds = abs(found[name]) <= room + 1e-6
+        if name == "trend" or used[name]:
+            holds &= abs(found[name] - room * ((used[name] > 0) - (used[name] < 0))) <= 1e-6
+        out.append((name, bool(holds)))
+    return spark.createDataFrame(out, "term string, holds boolean")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from lagline.functions.clean import present
 from lagline.operators.series import (
     attach_by_key,
-    exact_quantiles,
     long_series,
     over_series,
+    quantiles,
     running_totals,
 )
 from lagline.session import settle_table
@@ -27,10 +27,13 @@ HISTOGRAM_BINS = 10
 
 
 def median_drift(
-    labelled: DataFrame, key: Sequence[str] = (), value: str = "value"
+    labelled: DataFrame,
+    key: Sequence[str] = (),
+    value: str = "value",
+    quantile_method: str = "exact",
 ) -> DataFrame:
-    """Absolute difference of the slice medians."""
-    medians = exact_quantiles(labelled, [*key, "slice"], value, [0.5])
+    """Absolute difference of the slice medians; for ``quantile_method`` see ``quantiles``."""
+    medians = quantiles(labelled, [*key, "slice"], value, [0.5], method=quantile_method)
 
     def of(label: str) -> Column:
         return F.max(F.when(F.col("slice") == label, F.get("quantiles", F.lit(0))))
@@ -72,12 +75,19 @@ def error_histogram(
 
 
 def largest_errors(
-    labelled: DataFrame, key: Sequence[str] = (), share: float = TAIL_SHARE
+    labelled: DataFrame,
+    key: Sequence[str] = (),
+    share: float = TAIL_SHARE,
+    quantile_method: str = "exact",
 ) -> DataFrame:
-    """The most under- and overestimated rows of each slice against the majority."""
+    """The most under- and overestimated rows of each slice against the majority.
+
+    For ``quantile_method`` see ``quantiles``; the counts of a sketch are those of its cuts.
+    """
     group = [*key, "slice"]
     rows = labelled.withColumn("__error", F.col("forecast") - F.col("value"))
-    cuts = exact_quantiles(rows, group, "__error", [share, 1 - share], "__cuts")
+    tails = [share, 1 - share]
+    cuts = quantiles(rows, group, "__error", tails, "__cuts", quantile_method)
     cut = attach_by_key(rows, cuts, group)
     part = (
         F.when(F.col("__error") <= F.get("__cuts", F.lit(0)), "underestimated")

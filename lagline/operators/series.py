@@ -41,7 +41,10 @@ def series_window(key: Sequence[str], order: Sequence[str]) -> WindowSpec:
 
 
 #: Most rows of a group whose values one aggregation buffer may hold.
-QUANTILE_ROWS = 20_000
+QUANTILE_ROWS = 200_000
+
+#: Share of a group's rows by which a rank of the quantile sketch may be off.
+SKETCH_ERROR = 0.001
 
 
 def long_series(
@@ -259,6 +262,37 @@ def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def quantiles(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    name: str = "quantiles",
+    method: str = "exact",
+    error: float = SKETCH_ERROR,
+) -> DataFrame:
+    """Quantiles per group, ``exact`` (:func:`exact_quantiles`) or by a ``sketch``.
+
+    The sketch merges in any order, so a group of any size is one pass with map-side combine and
+    some thousand values of memory. It returns values of the group, one whose rank is off by at
+    most ``error`` times the group's rows for each probability.
+    """
+    if method == "exact":
+        return exact_quantiles(df, group, value, probabilities, name)
+    if method != "sketch":
+        raise ValueError(f"method must be exact or sketch, got {method!r}")
+    rows = present(df.select(*group, value), [value])
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    found = F.percentile_approx(value, wanted, F.lit(sketch_accuracy(error)))
+    return rows.groupBy(*group).agg(found.alias(name))
+
+
+def sketch_accuracy(error: float) -> int:
+    if not 0 < error < 1:
+        raise ValueError(f"error must be between 0 and 1, got {error!r}")
+    return -int(-1 // error)
+
+
 def exact_quantiles(
     df: DataFrame,
     group: Sequence[str],

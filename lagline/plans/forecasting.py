@@ -33,6 +33,7 @@ from lagline.plans.models import (
     SequenceModel,
     model_kind,
 )
+from lagline.plans.state import state_rows, update_state
 from lagline.session import settle
 from lagline.sources import names
 from lagline.sources.columns import lags_in, name_history_columns, search_column, series_key
@@ -210,6 +211,15 @@ def forecast(
     return run(model, history, key, horizon, freq, **settings)
 
 
+def rows_of_history(model: Model, history_window: int, alignment: str = "reference") -> int:
+    """The rows of each series to keep: ``history_window``, or more if the model needs more."""
+    if isinstance(model, ForestModel):
+        return max(history_window, history_needed(model.features, alignment))
+    if isinstance(model, SequenceModel):
+        return max(history_window, model.seq_len)
+    return history_window
+
+
 def choose_history(
     table: DataFrame,
     model: Model,
@@ -239,11 +249,7 @@ def choose_history(
         table = only_normal_pollutant(table, pollutant)
     table = name_history_columns(table, given.get("datetime"), given.get("value"))
     key = series_key(table.columns, key)
-    rows = history_window
-    if isinstance(model, ForestModel):
-        rows = max(rows, history_needed(model.features, alignment))
-    elif isinstance(model, SequenceModel):
-        rows = max(rows, model.seq_len)
+    rows = rows_of_history(model, history_window, alignment)
     columns_kept = table.select(*key, "datetime", "value")
     tail = history_tail(columns_kept, key, rows, ["datetime", "value"])
     return standard_rows(tail)
@@ -264,10 +270,13 @@ def forecast_files(
     columns: Mapping[str, str] | None = None,
     alignment: str = "reference",
     folder: str = ".",
+    state: str | None = None,
 ) -> DataFrame:
     """Read, choose the history, forecast, write Parquet and JSON, log the run.
 
     Without paths the usual files in ``folder`` are read. ``alignment`` is for forests.
+    With ``state``, a path where the newest values of every series are kept between runs (see
+    ``lagline.plans.state``), ``paths`` names only the files that have come since.
     """
     paths = default_paths(folder, freq) if paths is None else paths
     table = read_tables(spark, paths)
@@ -278,6 +287,9 @@ def forecast_files(
         )
     )
     key = series_key(history.columns, key)
+    if state is not None:
+        keep = rows_of_history(model, history_window, alignment)
+        history = state_rows(update_state(spark, state, history, key, keep), key)
     settings = {"alignment": alignment} if isinstance(model, ForestModel) else {}
     made = forecast(model, history, key, horizon, freq, **settings)
     if not made.short.isEmpty():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lagline.functions.clean import epoch_micros
 from lagline.operators.series import broadcast_if_short, match_keys
+from lagline.sources.versions import new_version, newest_version, publish
 
 DAY_SECONDS = 86_400.0
 
@@ -98,38 +99,49 @@ def model_kind(model: Model) -> str:
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> str:
-    """Keep a model below ``path``: its description as JSON, and what else it needs."""
+    """Keep a model below ``path`` as its newest version, and return ``path``.
+
+    Every version has a folder of its own, and its description is written last. Readers take the
+    newest version that has one, so they see the version before or the whole new one, and a
+    model may be saved where it was loaded from. Earlier versions stay until
+    :func:`prune_versions`.
+    """
+    folder = new_version(path)
+    publish(spark, folder, write_parts(model, folder))
+    return path
+
+
+def write_parts(model: Model, folder: str) -> dict:
+    """Write what a model needs besides its description, and return the description."""
     meta: dict = {"kind": model_kind(model)}
     if isinstance(model, ForestModel):
-        model.model.write().overwrite().save(f"{path}/model")
-        meta["features"] = model.features
-    else:
-        scaling = model.scaling
-        meta |= {
-            "weights": model.weights,
-            "intercept": model.intercept,
-            "key": scaling.key,
-            "scaler": {"mean": scaling.mean, "std": scaling.std},
-        }
-        if scaling.per_series is not None:
-            scaling.per_series.write.mode("overwrite").parquet(f"{path}/scaler")
-        if isinstance(model, SequenceModel):
-            meta["seq_len"] = model.seq_len
-        else:
-            meta["design"] = asdict(model.design)
-    text = spark.createDataFrame([(json.dumps(meta),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(f"{path}/meta")
-    return path
+        model.model.write().save(f"{folder}/model")
+        return meta | {"features": model.features}
+    scaling = model.scaling
+    meta |= {
+        "weights": model.weights,
+        "intercept": model.intercept,
+        "key": scaling.key,
+        "scaler": {"mean": scaling.mean, "std": scaling.std},
+    }
+    if scaling.per_series is not None:
+        scaling.per_series.write.parquet(f"{folder}/scaler")
+    if isinstance(model, SequenceModel):
+        return meta | {"seq_len": model.seq_len}
+    return meta | {"design": asdict(model.design)}
 
 
 def load_meta(spark: SparkSession, path: str) -> dict:
+    """The description of the newest complete version, or of a model without versions."""
+    folder = newest_version(spark, path) or path
     try:
-        return json.loads(spark.read.text(f"{path}/meta", wholetext=True).first()[0])
+        return json.loads(spark.read.text(f"{folder}/meta", wholetext=True).first()[0])
     except AnalysisException as error:
         raise FileNotFoundError(f"no model description below {path}") from error
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
+    path = newest_version(spark, path) or path  # one version for all parts
     meta = load_meta(spark, path)
     if meta["kind"] == "rf":
         if "features" not in meta:

@@ -69,7 +69,7 @@ def monitor(
     """
     shared = [c for c in truth.columns if c in forecasts.columns]
     key = series_key(shared, key)
-    pairs = align(truth, forecasts, key)
+    pairs = settle_table(align(truth, forecasts, key))  # read several times by the split
     order = ["datetime", "value", "forecast"]
     labelled = settle_table(
         recent_split(pairs, order, key, recent_rows=recent_rows, halves_upto=halves_upto)

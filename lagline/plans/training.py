@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -107,6 +109,64 @@ def fit_linear(
     return fitted.coefficients.tolist(), float(fitted.intercept)
 
 
+def gram_matrix(rows: DataFrame, columns: Sequence[Column]) -> np.ndarray:
+    """Sums over all rows of the products of 1 and the columns, in one pass.
+
+    Every task hands on one matrix; they are added up before anything comes to the driver.
+    """
+    size = len(columns) + 1
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size))
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            terms = np.ones((batch.num_rows, size))
+            terms[:, 1:] = flat.reshape(batch.num_rows, size - 1)
+            total += terms.T @ terms
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()])], ["sums"])
+
+    terms = rows.select(F.array(*[c.cast("double") for c in columns]).alias("terms"))
+    parts = terms.mapInArrow(work, "sums array<double>")
+    cells = parts.select(F.posexplode("sums").alias("at", "part")).groupBy("at")
+    out = np.zeros(size * size)
+    for cell in cells.agg(F.sum("part").alias("total")).collect():  # (columns + 1) squared
+        out[cell.at] = cell.total
+    return out.reshape(size, size)
+
+
+def sparse_weights(
+    gram: np.ndarray, penalised: Sequence[int], penalty: float, rounds: int = 100_000
+) -> tuple[list[float], float]:
+    """Weights and intercept of least squares with ``penalty`` on the absolute values of some.
+
+    ``gram`` is that of the inputs and then the label; it minimises half the mean squared
+    residual plus the penalty, by coordinate descent after the free weights are eliminated.
+    """
+    means = gram[0, 1:] / gram[0, 0]
+    spread = gram[1:, 1:] / gram[0, 0] - np.outer(means, means)
+    inner, right = spread[:-1, :-1], spread[:-1, -1]
+    held = np.array(sorted(penalised), int)
+    free = np.setdiff1d(np.arange(len(inner)), held)
+    inverse = np.linalg.pinv(inner[np.ix_(free, free)], 1e-10, hermitian=True)
+    across = inner[np.ix_(held, free)] @ inverse
+    shape = inner[np.ix_(held, held)] - across @ inner[np.ix_(free, held)]
+    target = right[held] - across @ right[free]
+    weights, own = np.zeros(len(held)), np.diag(shape)
+    for _ in range(rounds):
+        moved = 0.0
+        for j in np.flatnonzero(own > 1e-14):
+            pull = target[j] - shape[j] @ weights + own[j] * weights[j]
+            new = np.sign(pull) * max(abs(pull) - penalty, 0.0) / own[j]
+            moved = max(moved, abs(new - weights[j]) * own[j])
+            weights[j] = new
+        if moved < 1e-12:
+            break
+    out = np.zeros(len(inner))
+    out[held] = weights
+    out[free] = inverse @ (right[free] - inner[np.ix_(free, held)] @ weights)
+    return out.tolist(), float(means[-1] - out @ means[:-1])
+
+
 def train_sequence(
     table: DataFrame,
     key: Sequence[str] | None = None,
@@ -192,8 +252,13 @@ def train_seasonal(
     ridge: float = RIDGE,
     changepoints: int = CHANGEPOINTS,
     components: Sequence[str] | None = None,
+    sparse: float | None = None,
 ) -> Trained:
-    """Additive regression on a piecewise linear trend and Fourier seasonality."""
+    """Additive regression on a piecewise linear trend and Fourier seasonality.
+
+    With ``sparse`` the trend's bends are selected: their absolute weights are penalised by so
+    much (see :func:`sparse_weights`) instead of the ridge on all weights, and most become zero.
+    """
     key = series_key(table.columns, key)
     order = ["datetime", "value"]
     rows = settle_table(holdout(table.select(*key, *order), order, key, share))
@@ -203,9 +268,12 @@ def train_seasonal(
     scaled = scaling.attach(rows)
     mean, std = F.col("mean"), F.col("std")
     terms = design.columns(F.col("datetime"))
-    weights, intercept = fit_linear(
-        scaled.where("slice = 'train'"), terms, zscore(F.col("value"), mean, std), ridge
-    )
+    label, training = zscore(F.col("value"), mean, std), scaled.where("slice = 'train'")
+    if sparse is None:
+        weights, intercept = fit_linear(training, terms, label, ridge)
+    else:
+        bends = range(1, len(design.changepoints) + 1)
+        weights, intercept = sparse_weights(gram_matrix(training, [*terms, label]), bends, sparse)
     predicted = weighted_sum(terms, weights) + F.lit(intercept)
     scored = scaled.withColumn("forecast", from_zscore(predicted, mean, std))
     scored = scored.drop("mean", "std")

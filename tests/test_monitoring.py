@@ -1,11 +1,14 @@
+import random
+from bisect import bisect
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lagline.operators.drift import column_distances, column_drift
 from lagline.operators.joins import align
-from lagline.operators.series import exact_quantiles, running_totals, with_position
+from lagline.operators.series import exact_quantiles, quantiles, running_totals, with_position
 from lagline.operators.splits import holdout, recent_split
 from lagline.plans.monitoring import monitor, run_monitoring
 from lagline.sources.sinks import read_runs
@@ -158,3 +161,38 @@ def test_running_totals_and_quantiles_of_long_groups(spark, tiny_tasks):
     found = {r["g"]: r["quantiles"] for r in quantiles.collect()}
     np.testing.assert_allclose(found[None], np.quantile(values[:100], [0.05, 0.5, 1]))
     np.testing.assert_allclose(found["g"], np.quantile(values[100:], [0.05, 0.5, 1]))
+
+
+@pytest.mark.parametrize("key", [(), ("k",)])
+def test_recent_split_is_that_of_sorted_rows(spark, key):
+    """Many series: short, long, with ties at the cut, with null times, and a null key."""
+    draw = random.Random(3)
+    rows = []
+    for k, size in enumerate([0, 1, 2, 3, 59, 60, 61, 62, 400, 5000]):
+        rows += [(k or None, draw.randrange(3 if size < 500 else 10**6), 1.0) for _ in range(size)]
+    rows += [(11, None, 1.0)] * 40 + [(11, 5, 2.0)] * 25 + [(12, 7, 3.0)] * 100
+    frame = spark.createDataFrame(rows, "k int, t int, v double").repartition(5)
+    expected = []
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0] if key else 0, []).append(row)
+    for own in groups.values():
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        earlier = len(own) // 2 if len(own) <= 60 else len(own) - 30
+        labels = ["reference"] * earlier + ["current"] * (len(own) - earlier)
+        expected += [(*r, label) for r, label in zip(own, labels, strict=True)]
+    found = recent_split(frame, ["t", "v"], key)
+    assert found.columns == ["k", "t", "v", "slice"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_sketch_ranks(spark):
+    rows = spark.range(50_000).selectExpr("id % 2 AS g", "cast(hash(id) AS double) AS x")
+    exact = quantiles(rows, ["g"], "x", [0.1, 0.5]).orderBy("g").collect()
+    sketch = quantiles(rows, ["g"], "x", [0.1, 0.5], method="sketch").orderBy("g").collect()
+    for a, b in zip(exact, sketch, strict=True):
+        own = sorted(r.x for r in rows.where(F.col("g") == a.g).collect())
+        for x, y in zip(a.quantiles, b.quantiles, strict=True):
+            assert abs(bisect(own, x) - bisect(own, y)) <= 0.001 * len(own) + 1
+    with pytest.raises(ValueError, match="exact or sketch"):
+        quantiles(rows, ["g"], "x", [0.5], method="rough")
