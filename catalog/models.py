@@ -21,7 +21,7 @@ from lagline.functions.clean import present
 from lagline.operators.metrics import scaler
 from lagline.operators.windows import window_features
 from lagline.plans.daily import daily_run as run_daily
-from lagline.plans.features import daily_features, hourly_features
+from lagline.plans.features import FeatureTable, daily_features, hourly_features
 from lagline.plans.forecasting import (
     choose_history,
     forecast_files,
@@ -411,3 +411,147 @@ def sparse_bends(spark, folder):
             holds &= abs(found[name] - room * ((used[name] > 0) - (used[name] < 0))) <= 1e-6
         out.append((name, bool(holds)))
     return spark.createDataFrame(out, "term string, holds boolean")
+
+
+ONE_SPLIT = {"trees": 1, "depth": 1, "bootstrap": False}
+
+
+def stump(rows: str, feature: str, label: str) -> str:
+    """SQL for a tree of one split, fitted on the train rows of ``rows``: cut, low and high."""
+    return f"""cuts AS (
+    SELECT (v + lead(v) OVER (ORDER BY v)) / 2.0 AS cut
+    FROM (SELECT DISTINCT {feature} AS v FROM {rows} WHERE train)),
+  sides AS (
+    SELECT cut, avg({label}) FILTER ({feature} <= cut) AS low,
+           avg({label}) FILTER ({feature} > cut) AS high,
+           var_pop({label}) FILTER ({feature} <= cut) * count(*) FILTER ({feature} <= cut)
+             + var_pop({label}) FILTER ({feature} > cut) * count(*) FILTER ({feature} > cut) AS off
+    FROM {rows}, cuts WHERE train AND cut IS NOT NULL GROUP BY cut),
+  tree AS (SELECT cut, low, high FROM sides ORDER BY off, cut LIMIT 1)"""
+
+
+@query(f"""WITH {HOURLY},
+  lagged AS (
+    SELECT *, hour(datetime) AS h, lag(value, 24) OVER w AS lag_24, lead(value) OVER w AS target
+    FROM hourly WINDOW w AS (PARTITION BY pollutant ORDER BY datetime)),
+  kept AS (SELECT *, row_number() OVER (ORDER BY datetime, pollutant, value) AS pos,
+                  count(*) OVER () AS n
+           FROM lagged WHERE lag_24 IS NOT NULL AND target IS NOT NULL),
+  split AS (SELECT *, pos <= floor(n * 0.8) AS train FROM kept),
+  {stump("split", "h", "target")},
+  scored AS (SELECT train, abs(target - CASE WHEN h <= cut THEN low ELSE high END) AS e
+             FROM split, tree)
+  SELECT round(avg(e) FILTER (train), 6) AS mae_tr,
+         round(sqrt(avg(e * e) FILTER (train)), 6) AS rmse_tr,
+         round(avg(e) FILTER (NOT train), 6) AS mae_va,
+         round(sqrt(avg(e * e) FILTER (NOT train)), 6) AS rmse_va
+  FROM scored""")
+def forest_stump(spark, folder):
+    """A forest of one tree with one split, which SQL can find too, and its errors."""
+    built = hourly_features(hourly(spark, folder), key=KEY)
+    metrics = train_forest(FeatureTable(built.frame, ["hour"]), KEY, **ONE_SPLIT).metrics
+    return rounded(metrics, metrics.columns)
+
+
+STEPPED = f"""{DAILY},
+  stepped AS (SELECT pollutant, datetime, floor(value / 4) * 4 AS value FROM daily),
+  lagged AS (
+    SELECT *, lag(value) OVER w AS lag_1, lag(value, 14) OVER w AS lag_14, lead(value) OVER w AS target
+    FROM stepped WINDOW w AS (PARTITION BY pollutant ORDER BY datetime)),
+  kept AS (SELECT *, row_number() OVER (ORDER BY datetime, pollutant, value) AS pos,
+                  count(*) OVER () AS n
+           FROM lagged WHERE lag_14 IS NOT NULL AND target IS NOT NULL),
+  split AS (SELECT *, pos <= floor(n * 0.8) AS train FROM kept)"""
+
+
+def _stepped(spark, folder):
+    """Daily values in steps of four, so few that every place between two is a split."""
+    step = F.floor(F.col("value") / 4).cast("double") * 4
+    return daily(spark, folder).withColumn("value", step)
+
+
+@query(f"""WITH RECURSIVE {STEPPED},
+  {stump("split", "lag_1", "target")},
+  steps AS (
+    SELECT pollutant, max(datetime) AS last, arg_max(value, datetime) AS v, 0 AS step
+    FROM stepped GROUP BY 1
+    UNION ALL
+    SELECT pollutant, last, CASE WHEN v <= cut THEN low ELSE high END, step + 1
+    FROM steps, tree WHERE step < 5)
+  SELECT pollutant, last + to_days(CAST(step AS INTEGER)) AS datetime, round(v, 6) AS forecast
+  FROM steps WHERE step > 0""")
+def forest_forecast_stump(spark, folder):
+    """Each forecast of a one-split forest, fed back as the next lag."""
+    days = _stepped(spark, folder)
+    frame = daily_features(days, key=KEY).frame
+    model = train_forest(FeatureTable(frame, ["lag_1"]), KEY, **ONE_SPLIT).model
+    made = forecast_forest(model, choose_history(days, model, KEY), KEY, 5).rows
+    return rounded(made, ["forecast"])
+
+
+@query(f"""WITH {STEPPED}, low AS (SELECT avg(target) AS m FROM split WHERE train AND target <= 40)
+  SELECT pollutant, max(datetime) + INTERVAL 1 DAY AS datetime, round(any_value(m), 6) AS forecast
+  FROM stepped, low GROUP BY 1""")
+def underivable_feature(spark, folder):
+    """A feature that nothing gives ahead counts as 0."""
+    days = _stepped(spark, folder)
+    frame = daily_features(days, key=KEY).frame
+    frame = frame.withColumn("warning", F.when(F.col("target") > 40, 1.0).otherwise(0.0))
+    model = train_forest(FeatureTable(frame, ["lag_1", "warning"]), KEY, **ONE_SPLIT).model
+    made = forecast_forest(model, choose_history(days, model, KEY), KEY, 1).rows
+    return rounded(made, ["forecast"])
+
+
+PLANTED = "10 + 0.5 * d + 3 * sin(2 * pi() * d / 7) - 2 * cos(4 * pi() * d / 7)"
+
+
+@query(f"""WITH {DAILY},
+  ahead AS (SELECT pollutant, max(datetime) + to_days(CAST(h AS INTEGER)) AS datetime
+            FROM daily, range(1, 31) AS t(h) GROUP BY pollutant, h),
+  days AS (SELECT *, date_diff('day', DATE '1970-01-01', CAST(datetime AS DATE)) AS d FROM ahead)
+  SELECT pollutant, datetime, round({PLANTED}, 4) AS forecast FROM days""")
+def seasonal_planted(spark, folder):
+    """A trend and a weekly wave laid over the days of the table are forecast as they are."""
+    d = F.unix_date(F.col("datetime").cast("date"))
+    days = daily(spark, folder).withColumn("d", d).withColumn("value", F.expr(PLANTED)).drop("d")
+    model = train_seasonal(days, KEY, ridge=0.0, changepoints=0, components=["weekly"]).model
+    return rounded(forecast_seasonal(model, days, KEY, 30).rows, ["forecast"], 4)
+
+
+@query(f"""WITH {DAILY}, edge AS (SELECT max(datetime) - INTERVAL 5 DAY AS cut FROM daily),
+  placed AS (
+    SELECT daily.*, row_number() OVER w AS pos, count(*) OVER (PARTITION BY pollutant) AS n,
+           lag(value) OVER w AS l1
+    FROM daily, edge WHERE datetime <= cut WINDOW w AS (PARTITION BY pollutant ORDER BY datetime)),
+  sliced AS (SELECT *, pos <= 1 + floor((n - 1) * 0.8) AS train FROM placed),
+  stats AS (SELECT pollutant, avg(value) AS mean, stddev_pop(value) + 1e-8 AS std
+            FROM sliced WHERE train GROUP BY 1),
+  line AS (
+    SELECT regr_slope((value - mean) / std, (l1 - mean) / std) AS b,
+           regr_intercept((value - mean) / std, (l1 - mean) / std) AS a
+    FROM sliced JOIN stats USING (pollutant) WHERE train AND l1 IS NOT NULL),
+  newest AS (SELECT pollutant, max(datetime) AS last, arg_max(value, datetime) AS v
+             FROM placed GROUP BY 1),
+  z AS (SELECT pollutant, last, mean, std, (v - mean) / (std + 1e-8) AS z0, a, b
+        FROM newest JOIN stats USING (pollutant), line),
+  made AS (
+    SELECT pollutant, last + to_days(CAST(h AS INTEGER)) AS datetime,
+           mean + std * (z0 * b ** h + CASE WHEN h = 1 THEN a WHEN h = 2 THEN a + a * b
+             WHEN h = 3 THEN a + a * b + a * b ** 2 WHEN h = 4 THEN a + a * b + a * b ** 2 + a * b ** 3
+             ELSE a + a * b + a * b ** 2 + a * b ** 3 + a * b ** 4 END) AS forecast
+    FROM z, range(1, 6) AS t(h))
+  SELECT pollutant AS station, count(*) AS n_points, round(avg(abs(value - forecast)), 5) AS mae,
+         round(sqrt(avg((value - forecast) ** 2)), 5) AS rmse
+  FROM made JOIN daily USING (pollutant, datetime) GROUP BY 1""")
+def daily_backtest_errors(spark, folder):
+    """The errors that training, forecasting and monitoring end in, one job after the other."""
+    days = daily(spark, folder).withColumnRenamed("pollutant", "station")
+    cut = days.agg(F.max("datetime") - F.expr("INTERVAL 5 DAYS")).first()[0]
+    early = write_parquet(days.where(F.col("datetime") <= F.lit(cut)), scratch_path(spark, "early"))
+    whole = write_parquet(days, scratch_path(spark, "all"))
+    run = run_daily(
+        spark, [early], scratch_path(spark, "backtest"), "lstm", horizon=5, truth_paths=[whole],
+        seq_len=1,
+    )
+    summary = run.report.summary.select("station", "n_points", "mae", "rmse")
+    return rounded(summary, ["mae", "rmse"], 5)

@@ -62,10 +62,12 @@ def train_forest(
     depth: int = DEPTH,
     seed: int = SEED,
     share: float = HOLDOUT,
+    bootstrap: bool = True,
 ) -> Trained:
     """Forest regressor on a feature table, split by time.
 
     The split runs over the whole table unless ``split_key`` asks for one per series.
+    ``bootstrap`` draws the rows of each tree anew; otherwise every tree sees all.
     """
     rows = present(table.frame, [*table.features, "target"])
     kept = dict.fromkeys([*key, "datetime", "value", *table.features, "target"])
@@ -81,6 +83,7 @@ def train_forest(
         maxDepth=depth,
         seed=seed,
         featureSubsetStrategy="all",
+        bootstrap=bootstrap,
     )
     fitted = forest.fit(vectors.where("slice = 'train'"))
     scored = fitted.transform(vectors).drop("__features")
