@@ -122,9 +122,6 @@ def surveyed(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     return settled(map_texts(keyed(documents, id_column, text), "text", fields, start))
 
 
-    return hashlib.sha256(data).hexdigest()
-
-
 def keyed(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     ids = F.col(quoted(id_column)).cast("bigint")
     return documents.select(

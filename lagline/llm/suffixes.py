@@ -9,6 +9,12 @@ left. A second sort has the left side before the right side, so that a text is a
 that share most to its left. Matches of ``WINDOW`` words or more count; overlapping ones become
 one passage.
 
+In the one order a suffix stands beside those that share most to its right, in the other beside
+those that share most to its left. Between these two reaches a window can be shared with a text
+that is a neighbour in neither order. Where more suffixes have an anchor than are compared,
+such windows that no match covers are settled by their words: suffixes with the anchor are grouped
+by the words that the window has on either side of their place. So no match is missed.
+
 Equal suffixes may lie in several ranges, so a suffix that very many texts share does not make
 one large task; the first and last suffixes of each range (two texts' worth) are compared in a
 last step over as many rows as there are ranges.
@@ -85,7 +91,7 @@ def kept_suffixes(known: grams.WordCodes, text: str, shared: np.ndarray) -> list
 class Suffix:
     """A kept suffix in a sorted range, and the longest matches found for it."""
 
-    __slots__ = ("row", "key", "anchor", "right", "left", "spans", "other")
+    __slots__ = ("row", "key", "anchor", "right", "left", "spans", "other", "reach")
 
     def __init__(self, row: tuple):
         self.row = row
@@ -94,6 +100,7 @@ class Suffix:
         self.left = int.from_bytes(row[5].ljust(GRAM * WIDTH, b"\0"), "big")
         self.spans: list[tuple[int, int]] = []
         self.other = LAST_ID
+        self.reach = (0, 0)  # most words shared to the left and to the right
 
     def meet(self, old: Suffix) -> None:
         """Extend the match of two suffixes with one anchor to the right and to the left."""
@@ -101,26 +108,43 @@ class Suffix:
         right = min(WINDOW - -(-bits // 32), len(self.row[4]) // WIDTH, len(old.row[4]) // WIDTH)
         bits = (self.left ^ old.left).bit_length()
         left = min(GRAM - -(-bits // 32), len(self.row[5]) // WIDTH, len(old.row[5]) // WIDTH)
+        for one in (self, old):
+            one.reach = (max(one.reach[0], left), max(one.reach[1], right))
         if left + right >= WINDOW:
             for one, two in ((self, old), (old, self)):
                 one.other = min(one.other, two.row[1])
                 if not any(a >= left and b >= right for a, b in one.spans):
                     one.spans.append((left, right))
 
-    def matches(self) -> list[tuple]:
+    def matches(self, crowded: bool) -> list[tuple]:
+        """The matches, and if not all suffixes of the anchor were met the reaches (kind 2, to
+        the left in begin, to the right in end, in other the splits that the matches cover)."""
         key, first, anchor, place = self.row[:4]
-        return [
-            (0, place - left, place + right, self.other, key, first, anchor, place, b"", b"")
-            for left, right in self.spans
-        ]
+        own = (key, first, anchor, place, b"", b"")
+        rows = [(0, place - left, place + right, self.other, *own) for left, right in self.spans]
+        if crowded and any(self.reach):
+            covered = 0
+            for left, right in self.spans:
+                covered |= splits_between(left, right)
+            rows.append((2, *self.reach, covered, *own))
+        return rows
+
+
+def splits_between(left: int, right: int) -> int:
+    """Bits for the numbers of words that a window may have to the left of a place, if so many
+    words are shared on either side."""
+    low, high = max(WINDOW - right, 0), min(left, SPAN - 1)
+    return ((1 << (high + 1)) - (1 << low)) if high >= low else 0
 
 
 def neighbours(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
-    """Matches (kind 0) of neighbouring suffixes of different texts in sorted rows. With
-    ``edges`` also the rows of the first and of the last text (kind 1)."""
+    """Matches (kind 0) of neighbouring suffixes of different texts in sorted rows, and reaches
+    (kind 2). With ``edges`` also the rows of the first and of the last text (kind 1)."""
     before: list[Suffix] = []  # the last rows of texts before the current one
     now: list[Suffix] = []  # the rows of the current text
     first = True
+    edge: list[tuple] = []  # the rows of the first text
+    count, begun = 0, 1  # rows of the current anchor, and anchors
     names = [part.split()[0] for part in MADE.split(", ")]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -136,26 +160,34 @@ def neighbours(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.Re
             for values in zip(*[c.to_pylist() for c in part.columns], strict=True):
                 row = Suffix(values)
                 if now and row.anchor != now[-1].anchor:
-                    rows += [m for old in before for m in old.matches()]
-                    before = []
+                    crowded = begun == 1 or count > NEIGHBOURS
+                    rows += [m for old in [*before, *now] for m in old.matches(crowded)]
+                    before, now, count, begun = [], [], 0, begun + 1
+                    if edges and first:
+                        rows += edge
+                        first = False
                 if now and row.key != now[-1].key:
                     if edges and first:
-                        rows += [(1, 0, 0, 0, *own.row) for own in now]
+                        rows += edge
                         first = False
                     for old in now[:-NEIGHBOURS]:
                         # All suffixes of one text in a row meet the first of the next.
-                        if old.anchor == row.anchor:
-                            row.meet(old)
+                        row.meet(old)
                     kept = [*before, *now]
-                    rows += [m for old in kept[:-NEIGHBOURS] for m in old.matches()]
+                    rows += [m for old in kept[:-NEIGHBOURS] for m in old.matches(True)]
                     before, now = kept[-NEIGHBOURS:], []
                 for old in before:
-                    if old.key != row.key and old.anchor == row.anchor:
+                    if old.key != row.key:
                         row.meet(old)
                 now.append(row)
+                count += 1
+                if edges and first:
+                    edge.append((1, 0, 0, 0, *row.row))
             if rows:
                 yield out(rows)
-    rows = [m for old in [*before, *now] for m in old.matches()]
+    rows = [m for old in [*before, *now] for m in old.matches(True)]
+    if edges and first:
+        rows += edge
     if edges:
         rows += [(1, 0, 0, 0, *own.row) for own in now]
     if rows:
@@ -163,7 +195,8 @@ def neighbours(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.Re
 
 
 def sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
-    """key, begin, end, other: matches of neighbours in one sort of the suffixes."""
+    """Matches of neighbours in one sort of the suffixes, and reaches: kind, begin, end, other,
+    key, first, anchor, place."""
     columns = [part.split()[0] for part in SCHEMA.split(", ")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(columns)
     made = settled(map_batches(dealt, MADE, lambda batches: neighbours(batches, True)))
@@ -171,7 +204,44 @@ def sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
     edges = made.where("kind = 1").select(columns).distinct()
     edges = edges.coalesce(1).sortWithinPartitions(*order)
     last = map_batches(edges, MADE, lambda batches: neighbours(batches, False))
-    return made.where("kind = 0").union(last).select("key", "begin", "end", "other")
+    made = made.where("kind <> 1").union(last)
+    return made.select("kind", "begin", "end", "other", "key", "first", "anchor", "place")
+
+
+def settled_splits(rows: DataFrame, reaches: DataFrame) -> DataFrame:
+    """key, begin, end, other: windows that the neighbours of two orders leave open.
+
+    ``reaches`` are the reaches of both orders. A split (words of a window to the left of the place)
+    is possible for a suffix if some suffix shares so many words to the left and some as many as
+    it needs to the right; it is open if no match covers it. All suffixes of the anchor for which
+    an open split is possible are then grouped by the words of that window.
+    """
+    own = reaches.groupBy("key", "place", "anchor").agg(
+        F.max("begin").alias("left"), F.max("end").alias("right"), F.bit_or("other").alias("met")
+    )
+    low, high = F.greatest(WINDOW - F.col("right"), F.lit(0)), F.least("left", F.lit(SPAN - 1))
+    own = settled(own.where(low <= high).withColumn("split", F.explode(F.sequence(low, high))))
+    open_split = F.getbit("met", F.col("split").cast("int")) == 0
+    wanted = own.where(open_split).select("anchor", "split").distinct()
+    asked = own.join(wanted, ["anchor", "split"]).select("key", "place", "split")
+    found = rows.join(asked, ["key", "place"])
+    words = F.xxhash64(
+        "anchor",
+        "split",
+        F.substring("left", F.lit(1), F.col("split").cast("int") * WIDTH),
+        F.substring("right", F.lit(1), (WINDOW - F.col("split").cast("int")) * WIDTH),
+    )
+    found = settled(found.select("key", "first", "place", "split", words.alias("words")))
+    groups = found.groupBy("words").agg(
+        F.min("key").alias("one"), F.max("key").alias("two"),
+        F.min("first").alias("least"), F.max("first").alias("most"),
+    )
+    groups = groups.where("one < two").select("words", "least", "most")
+    begin = F.col("place") - F.col("split")
+    other = F.when(F.col("least") != F.col("first"), F.col("least")).otherwise(F.col("most"))
+    return found.join(groups, "words").select(
+        "key", begin.alias("begin"), (begin + WINDOW).alias("end"), other.alias("other")
+    )
 
 
 def passages(documents: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -185,6 +255,8 @@ def passages(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     for order in ORDERS:
         made = sorted_matches(rows, order)
         matches = made if matches is None else matches.union(made)
+    open_windows = settled_splits(rows, matches.where("kind = 2"))
+    matches = matches.where("kind = 0").select("key", "begin", "end", "other").union(open_windows)
     ranges = matches.groupBy("key").agg(F.collect_set(F.struct("begin", "end", "other")).alias("r"))
     ranges = map_batches(ranges, "key binary, begin bigint, end bigint, other bigint", joined)
 

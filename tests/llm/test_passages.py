@@ -131,6 +131,27 @@ def test_a_passage_that_many_share(spark):
     assert sorted(r.n_removed for r in left) == [0] + [60] * 299
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_of_headers_and_footers(spark, seed):
+    """40 headers x a core x 40 footers: each passage of 54 words is in two texts only, and its
+    neighbours in either order are others."""
+    draw = random.Random(seed)
+
+    def fresh(count):
+        return [f"w{draw.randrange(10**9)}" for _ in range(count)]
+
+    core, heads, feet = fresh(30), [fresh(12) for _ in range(40)], [fresh(12) for _ in range(40)]
+    texts = [" ".join(fresh(9) + h + core + f + fresh(9)) for h in heads for f in feet for _ in "ab"]
+    draw.shuffle(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = suffixes.passages(frame, "doc_id", "text").collect()
+    assert {(r.doc_id, r.begin_word, r.end_word) for r in found} == {
+        (i, 9, 63) for i in range(3200)
+    }
+    partner = {r.doc_id: r.other_doc_id for r in found}
+    assert all(partner[partner[i]] == i != partner[i] for i in partner)
+
+
 def test_equal_windows_have_equal_anchors():
     draw = random.Random(4)
     words = [str(draw.randrange(50)).encode() for _ in range(400)]
