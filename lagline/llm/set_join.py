@@ -113,24 +113,30 @@ def surveyed(
 
 
 def shared(sets: DataFrame, hashes: str) -> DataFrame:
-    """cell (class), shingle and n (sets that have it), of the shingles that several have."""
+    """cell (class), shingle and n (rows that have it), of the shingles that several classes
+    have."""
     every = sets.select("cell", F.explode(hashes).alias("shingle"))
-    common = every.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    return every.join(common, "shingle")
+    common = every.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("cell").alias("low"), F.max("cell").alias("high")
+    )
+    return every.join(common.where("low < high").select("shingle", "n"), "shingle")
 
 
 def candidates(survey: DataFrame, percent: int) -> DataFrame:
     """Written once: one row per set that passes the first test, with the document that has
-    it: key, n, at, content."""
-    owner = F.min(F.struct("at", "content")).alias("owner")
-    sets = survey.where("key is not null").groupBy("key").agg(
-        owner, F.first("n_shingles").alias("n"), F.first("front").alias("front")
+    it: key, n, at, content. Copies count their shared shingles as often as they are."""
+    rows = survey.where("key is not null")
+    sets = rows.groupBy("key").agg(
+        F.min(F.struct("at", "content")).alias("owner"),
+        F.first("n_shingles").alias("n"),
+        F.count("*").alias("copies"),
     )
-    sets = settled(sets.withColumn("cell", F.xxhash64("key")))
-    counts = shared(sets, "front").groupBy("cell").agg(F.count("*").alias("met"))
+    fronts = rows.select(F.xxhash64("key").alias("cell"), "front")
+    counts = shared(fronts, "front").groupBy("cell").agg(F.count("*").alias("met"))
     least = F.call_function("div", F.col("n") * percent + 99, F.lit(100))
     least = F.greatest(F.lit(1), F.call_function("div", least, F.lit(20)))
-    chosen = sets.join(counts, "cell").where(F.col("met") >= least)
+    chosen = sets.withColumn("cell", F.xxhash64("key")).join(counts, "cell")
+    chosen = chosen.where(F.col("met") >= least * F.col("copies"))
     return settled(chosen.select("key", "n", "owner.at", "owner.content"))
 
 
