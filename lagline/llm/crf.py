@@ -18,6 +18,10 @@ class Chain:
     weights: np.ndarray
     steps: np.ndarray
 
+    def plain(self) -> tuple[np.ndarray, np.ndarray]:
+        """What a broadcast may hold: executors need not know this class to read arrays."""
+        return self.weights, self.steps
+
     def scores(self, features: np.ndarray) -> np.ndarray:
         return self.weights[features].sum(axis=-2)
 

@@ -275,10 +275,10 @@ def listed(spans: list[Span]) -> str:
 
 def find(documents: DataFrame, id_column: str, text: str, field: crf.Chain) -> DataFrame:
     """Per document: doc_id, counts per kind, digest of the pattern spans, all spans."""
-    shared = documents.sparkSession.sparkContext.broadcast(field)
+    shared = documents.sparkSession.sparkContext.broadcast(field.plain())
 
     def start() -> Callable[[list], list]:
-        own = shared.value
+        own = crf.Chain(*shared.value)
 
         def work(texts: list) -> list:
             texts = [t or "" for t in texts]
@@ -319,10 +319,10 @@ def cleared(text: str, spans: list[Span]) -> str:
 
 def redact(documents: DataFrame, text: str, field: crf.Chain) -> DataFrame:
     """All rows and columns, with personal data replaced in the text; a null text stays null."""
-    shared = documents.sparkSession.sparkContext.broadcast(field)
+    shared = documents.sparkSession.sparkContext.broadcast(field.plain())
 
     def start() -> Callable[[list], list]:
-        own = shared.value
+        own = crf.Chain(*shared.value)
 
         def work(texts: list) -> list:
             known = [t or "" for t in texts]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm import crf
-from lagline.llm.common import map_texts, quoted, smallest_hashes
+from lagline.llm.common import map_texts, quoted, settled, smallest_hashes
 
 FOLDS = 5
 SAMPLE_PER_CLASS = 3000
@@ -143,7 +143,10 @@ def logistic(rows: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarr
 
 
 def sample(documents: DataFrame, labels: DataFrame, id_column: str, text: str) -> DataFrame:
-    """The labelled documents to learn from: id, toxic, text."""
+    """The labelled documents to learn from, written once: id, toxic, text.
+
+    One text per sampled id, the smallest, so there are at most ``SAMPLE_PER_CLASS`` a class.
+    """
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
     known = known.where(~held_out(F.col("id")))
@@ -156,7 +159,9 @@ def sample(documents: DataFrame, labels: DataFrame, id_column: str, text: str) -
     rows = documents.select(
         F.col(quoted(id_column)).alias("id"), F.col(quoted(text)).alias("text")
     )
-    return rows.where("text is not null").join(F.broadcast(chosen), "id")
+    rows = rows.where("text is not null").join(F.broadcast(chosen), "id")
+    once = rows.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    return settled(once)
 
 
 def toxic_words(rows: DataFrame) -> set[str]:
@@ -233,10 +238,10 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str, text: str) ->
 
 
 def summaries(rows: DataFrame, text: str, chain: crf.Chain) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(chain)
+    shared = rows.sparkSession.sparkContext.broadcast(chain.plain())
 
     def start() -> Callable[[list], list]:
-        words = Words(shared.value)
+        words = Words(crf.Chain(*shared.value))
 
         def work(texts: list) -> list:
             return [[summary(p) for p in probabilities([t or "" for t in texts], words)]]
@@ -248,15 +253,15 @@ def summaries(rows: DataFrame, text: str, chain: crf.Chain) -> DataFrame:
 
 def scored(documents: DataFrame, text: str, scorer: Scorer) -> DataFrame:
     """The other columns, with the text replaced by ``score``."""
-    shared = documents.sparkSession.sparkContext.broadcast(scorer)
+    shared = documents.sparkSession.sparkContext.broadcast((*scorer.chain.plain(), scorer.logistic))
 
     def start() -> Callable[[list], list]:
-        own = shared.value
-        words = Words(own.chain)
+        *chain, weights = shared.value
+        words = Words(crf.Chain(*chain))
 
         def work(texts: list) -> list:
             found = probabilities([t or "" for t in texts], words)
-            rows = np.array([summary(p) for p in found]) @ own.logistic
+            rows = np.array([summary(p) for p in found]) @ weights
             return [(1 / (1 + np.exp(-np.clip(rows, -30, 30)))).tolist()]
 
         return work
@@ -266,10 +271,10 @@ def scored(documents: DataFrame, text: str, scorer: Scorer) -> DataFrame:
 
 def spans(documents: DataFrame, id_column: str, text: str, scorer: Scorer) -> DataFrame:
     """One row per toxic word: doc_id, begin and end (code points, end exclusive), probability."""
-    shared = documents.sparkSession.sparkContext.broadcast(scorer)
+    shared = documents.sparkSession.sparkContext.broadcast((*scorer.chain.plain(), scorer.logistic))
 
     def start() -> Callable[[list], list]:
-        words = Words(shared.value.chain)
+        words = Words(crf.Chain(*shared.value[:2]))
 
         def work(texts: list) -> list:
             out = []
