@@ -65,14 +65,14 @@ def run_hashes(codes: np.ndarray, size: int, base: int = BASES[0]) -> np.ndarray
     return value
 
 
-def anchors(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(codes: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Per window its anchor; per run of words its hash (the anchors are minima of these)."""
-    hashes = run_hashes(codes, GRAM)
-    if len(hashes) < SPAN:
+    hashes, span = run_hashes(codes, gram), WINDOW - gram + 1
+    if len(hashes) < span:
         return np.zeros(0, np.uint64), hashes
     least, width = hashes, 1
-    while width < SPAN:
-        step = min(width, SPAN - width)
+    while width < span:
+        step = min(width, span - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
     return least, hashes

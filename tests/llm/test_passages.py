@@ -60,7 +60,7 @@ def test_automaton_against_all_substrings():
             known |= {"".join(text[i:j]) for i in range(len(text)) for j in range(i, len(text) + 1)}
 
 
-@pytest.mark.parametrize("limit", [automata.SHARD_WORDS, 0])
+@pytest.mark.parametrize("limit", [automata.SHARD_WORDS, 300, 0])
 def test_removal_of_hard_texts(hard, monkeypatch, limit):
     monkeypatch.setattr(automata, "SHARD_WORDS", limit)
     assert as_rows(automata.dedup(hard, "doc_id", "text")) == slow_removal(id_and_text(hard))
@@ -152,6 +152,25 @@ def test_templates_of_headers_and_footers(spark, seed):
     assert all(partner[partner[i]] == i != partner[i] for i in partner)
 
 
+@pytest.mark.parametrize("limit", [automata.SHARD_WORDS, 2000])
+def test_removal_of_a_core_in_many_contexts(spark, monkeypatch, limit):
+    """A shard of stretches that are all different, cut again by longer anchors."""
+    monkeypatch.setattr(automata, "SHARD_WORDS", limit)
+    draw = random.Random(6)
+
+    def fresh(count):
+        return [f"w{draw.randrange(10**9)}" for _ in range(count)]
+
+    core, heads, feet = fresh(30), [fresh(12) for _ in range(12)], [fresh(12) for _ in range(12)]
+    texts = [" ".join(fresh(9) + h + core + f + fresh(9)) for h in heads for f in feet for _ in "ab"]
+    draw.shuffle(texts)
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = as_rows(automata.dedup(frame, "doc_id", "text"))
+    assert found == slow_removal(rows)
+    assert sum(r[2] > 0 for r in found) == 144
+
+
 def test_equal_windows_have_equal_anchors():
     draw = random.Random(4)
     words = [str(draw.randrange(50)).encode() for _ in range(400)]
