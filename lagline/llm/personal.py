@@ -1,16 +1,20 @@
 """Personal data: fixed patterns, and a conditional random field that adds spans of like shape.
 
 The patterns find e-mail addresses, IP numbers, payment cards and phone numbers; what they find
-always stays. Around every token with a digit, ``@`` or ``+`` a chain of tokens is tagged by a
-linear-chain conditional random field over word-shape features, decoded by Viterbi in batches;
-tagged tokens that no pattern span touches are added as spans of the same kinds.
-
-The field is trained from a small table of labelled chains: those of at most
-``SAMPLE_DOCUMENTS`` documents (of the smallest hashes of their ids), labelled by the patterns,
-where a number that fails its check (Luhn, parts, digits) is a negative example. All other work
-is over all rows and whole texts.
-
-Null text: like empty (no spans). Chains are cut after ``CHAIN`` tokens.
+always stays. Around every token with a digit, ``@``, ``+`` or a spelled separator ("dot", "(at)")
+a chain of tokens is tagged by a linear-chain conditional random field over word-shape features,
+decoded by Viterbi in batches. Runs of tagged tokens that no pattern span touches are added, as spans
+of the same kinds or as ``secret`` (keys and passwords in clear).
+
+The field is trained from two tables of labelled chains. One is made by hand (``labelled.py``):
+addresses and numbers written in ways that the patterns miss, secrets, and look-alikes. The other
+is a sample of the corpus: chains of at most ``SAMPLE_DOCUMENTS`` documents (of the smallest hashes of
+their ids), labelled by the patterns, where a number that fails its check (Luhn, parts, digits) is
+a negative example; chains with a token of which the patterns know nothing are left out. All
+other work is over all rows and whole texts.
+
+Null text: like empty (no spans). Tokens of over ``PIECE`` characters go on as further tokens,
+chains of over ``CHAIN`` tokens as further chains, so that no part of a text is left out.
 """
 
 from __future__ import annotations
@@ -24,16 +28,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm import crf
+from lagline.llm import crf, labelled
 from lagline.llm.common import map_texts, quoted, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
+#: What the field tags; the kinds of the patterns come first.
+FIELD_KINDS = (*KINDS, "secret")
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_CHAINS = 6000
 CHAIN = 128
 MARGIN = 40
-BUCKETS = 1 << 12
-WIDTH = 9
+BUCKETS = 1 << 13
+WIDTH = 12
+PIECE = 64
+#: How often a chain labelled by hand counts against one of the sample.
+REPEATS = 10
 
 # Fixed patterns. Those for runs of digits begin at the first digit of a run.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,7 +52,12 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 HOT = re.compile(r"[0-9@+]")
 HOT_RUN = re.compile(r"[0-9@+]+")
-TOKEN = re.compile(r"\S+")
+WIDE_RUN = re.compile(r"[0-9@+]+|[(\[{<](?:at|dot)[)\]}>]|\bdot\b", re.IGNORECASE)
+#: A text without any of these has no spelled separators.
+SPELLED = ("dot", "Dot", "DOT", "(at", "[at", "{at", "<at", "(AT", "[AT", "{AT", "<AT")
+TOKEN = re.compile(rf"\S{{1,{PIECE}}}")
+HEX = re.compile(r"[0-9A-Fa-f]+")
+MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z]).{14,}")
 BLANK = re.compile(r"\s")
 EDGES = ".,;:!?\"'()[]|"
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -98,10 +112,15 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+def hot_runs(text: str) -> re.Pattern:
+    """What finds the places around which a text has chains."""
+    return WIDE_RUN if any(s in text for s in SPELLED) else HOT_RUN
+
+
 def chains(text: str) -> list[list[tuple[int, int]]]:
     """Chains of token places: hot tokens with the words near them."""
     regions: list[list[int]] = []
-    for hot in HOT_RUN.finditer(text):
+    for hot in hot_runs(text).finditer(text):
         begin, end = max(hot.start() - MARGIN, 0), min(hot.end() + MARGIN, len(text))
         if regions and begin <= regions[-1][1]:
             regions[-1][1] = end
@@ -123,7 +142,7 @@ def chains(text: str) -> list[list[tuple[int, int]]]:
 def shape(word: str) -> str:
     """The word's shape: A, a, 0 for letters and digits, other characters as they are, runs once."""
     out = []
-    for c in word[:64]:
+    for c in word:
         kind = "0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
         if not out or out[-1] != kind:
             out.append(kind)
@@ -136,26 +155,34 @@ def _bucket(text: str) -> int:
 
 def token_features(text: str, places: list[tuple[int, int]]) -> list[list[int]]:
     """Feature numbers per token: shapes of it and its neighbours, digits, checks, ends."""
-    words = [text[a : min(b, a + 200)] for a, b in places]
-    shapes = [shape(w.strip(EDGES)) or "-" for w in words]
+    words = [text[a:b] for a, b in places]
+    cores = [w.strip(EDGES) for w in words]
+    shapes = [shape(c) or "-" for c in cores]
+    plain = [s if HOT.search(c) else c.lower() or w for s, c, w in zip(shapes, cores, words, strict=True)]
+    plain = ["^", "^", *plain, "$"]
     rows = []
-    for i, word in enumerate(words):
-        core = word.strip(EDGES)
+    for i, core in enumerate(cores):
         digits = NOT_DIGIT.sub("", core)
         bare = shapes[i]
         numeric = IP.fullmatch(core) is not None
         checks = f"{card_fits(core)} {'@' in core} {core[:1] == '+'}"
         rows.append(
             [
-                _bucket("shape " + bare[:24]),
+                _bucket("shape " + bare),
                 _bucket("digits " + str(min(len(digits), 20))),
                 _bucket("checks " + checks),
                 _bucket(f"ip {numeric} {numeric and ip_fits(core)}"),
-                _bucket("before " + (shapes[i - 1][:16] if i else "^")),
-                _bucket("after " + (shapes[i + 1][:16] if i + 1 < len(words) else "$")),
+                _bucket("before " + (shapes[i - 1] if i else "^")),
+                _bucket("after " + (shapes[i + 1] if i + 1 < len(words) else "$")),
                 _bucket("start " + core[:1]) if not core[:1].isalnum() else _bucket("start a"),
                 _bucket(f"long {min(len(core), 24) // 3} {bool(digits)}"),
-                _bucket("all"),
+                _bucket(
+                    f"mixed {MIXED.fullmatch(core) is not None} {HEX.fullmatch(core) is not None}"
+                    f" {min(len(bare), 12) // 3}"
+                ),
+                _bucket("word before " + plain[i + 1]),
+                _bucket("two before " + plain[i]),
+                _bucket("word " + plain[i + 2]),
             ]
         )
     return rows
@@ -163,7 +190,7 @@ def token_features(text: str, places: list[tuple[int, int]]) -> list[list[int]]:
 
 def tagged(found: list[list[tuple[int, int]]], spans: list[Span]) -> list[list[int]]:
     """Per chain the tag of each token, from the spans that touch it."""
-    rest = sorted((a, b, 1 + KINDS.index(kind)) for kind, a, b in spans)
+    rest = sorted((a, b, 1 + FIELD_KINDS.index(kind)) for kind, a, b in spans)
     out = []
     for places in found:
         rest = [s for s in rest if s[1] > places[0][0]] if rest and places else rest
@@ -178,6 +205,14 @@ def tagged(found: list[list[tuple[int, int]]], spans: list[Span]) -> list[list[i
     return out
 
 
+def unknown(core: str) -> bool:
+    """Whether a token that no pattern found may be personal data all the same."""
+    digits = len(NOT_DIGIT.sub("", core))
+    return not core.isdigit() and (
+        digits >= 7 or "@" in core or MIXED.fullmatch(core) is not None
+    )
+
+
 def labelled_chains(documents: DataFrame, id_column: str, text: str) -> list:
     """A bounded sample of chains as (feature rows, tags)."""
     ids = F.col(quoted(id_column))
@@ -194,6 +229,11 @@ def labelled_chains(documents: DataFrame, id_column: str, text: str) -> list:
                 spans = base_spans(value)
                 found = chains(value)
                 for places, own in zip(found, tagged(found, spans), strict=True):
+                    if any(
+                        not tag and unknown(value[a:b].strip(EDGES))
+                        for tag, (a, b) in zip(own, places, strict=True)
+                    ):
+                        continue
                     own_f.append([x for r in token_features(value, places) for x in r])
                     own_t.append(own)
                 features.append(own_f)
@@ -216,25 +256,33 @@ def labelled_chains(documents: DataFrame, id_column: str, text: str) -> list:
     return [(np.array(r.features, np.int32).reshape(-1, WIDTH), r.tags) for r in found]
 
 
+def hand_labelled() -> list:
+    """The chains of the table made by hand as (feature rows, tags)."""
+    out = []
+    for line in labelled.LINES:
+        text, spans = labelled.parsed(line)
+        found = chains(text)
+        out += [
+            (np.array(token_features(text, places), np.int32), own)
+            for places, own in zip(found, tagged(found, spans), strict=True)
+        ]
+    return out
+
+
 def train_field(documents: DataFrame, id_column: str, text: str) -> crf.Chain:
-    """The field learnt from the sample; without a chain to learn from it adds nothing."""
-    tags = 1 + len(KINDS)
-    sample = labelled_chains(documents, id_column, text)
-    if not sample:
-        weights = np.zeros((BUCKETS, tags))
-        weights[:, 0] = 1.0
-        return crf.Chain(weights, np.zeros((tags, tags)))
+    """The field learnt from the table made by hand and from the sample."""
+    sample = hand_labelled() * REPEATS + labelled_chains(documents, id_column, text)
     features, lengths = crf.padded([f.tolist() for f, _ in sample], WIDTH)
     gold, _ = crf.padded([t for _, t in sample])
-    return crf.train(features, gold, lengths, BUCKETS, tags)
+    return crf.train(features, gold, lengths, BUCKETS, 1 + len(FIELD_KINDS))
 
 
 def added_spans(texts: list[str], bases: list[list[Span]], field: crf.Chain) -> list[list[Span]]:
     """Per text the spans that the field tags and no pattern span touches."""
     places, owners, fixed = [], [], []
     for number, (text, base) in enumerate(zip(texts, bases, strict=True)):
-        if HOT.search(text):
-            found = chains(text)
+        found = chains(text)
+        if found:
             places += found
             owners += [number] * len(found)
             fixed += tagged(found, base)
@@ -251,25 +299,24 @@ def added_spans(texts: list[str], bases: list[list[Span]], field: crf.Chain) ->
                     scores[i, t, tag] += 1e6
         tags = crf.viterbi(scores, lengths, field.steps)
         for i, (o, chain) in enumerate(zip(owner, part, strict=True)):
-            open_tag = 0
+            open_tag, made = 0, []
             for t, (a, b) in enumerate(chain):
                 tag = 0 if known[i][t] else int(tags[i, t])
-                if tag and not any(c.isdigit() or c == "@" for c in texts[o][a:b]):
-                    tag = 0
-                if tag:
-                    core = texts[o][a:b]
-                    begin = a + len(core) - len(core.lstrip(EDGES))
-                    end = b - (len(core) - len(core.rstrip(EDGES)))
-                    if tag == open_tag and out[o]:
-                        out[o][-1] = (KINDS[tag - 1], out[o][-1][1], end)
-                    else:
-                        out[o].append((KINDS[tag - 1], begin, end))
+                if tag and tag == open_tag:
+                    made[-1][2] = b
+                elif tag:
+                    made.append([FIELD_KINDS[tag - 1], a, b])
                 open_tag = tag
+            for kind, a, b in made:
+                core = texts[o][a:b]
+                begin, end = a + len(core) - len(core.lstrip(EDGES)), a + len(core.rstrip(EDGES))
+                if begin < end and hot_runs(core).search(core):
+                    out[o].append((kind, begin, end))
     return out
 
 
 def listed(spans: list[Span]) -> str:
-    order = sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    order = sorted(spans, key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2]))
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in order)
 
 

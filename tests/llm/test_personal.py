@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from hard_tables import SMALL, empty, hard  # noqa: F401
 
-from lagline.llm import crf, personal
+from lagline.llm import crf, labelled, personal
 from lagline.llm.queries import QUERIES
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -88,11 +88,68 @@ def test_query_and_hard_texts(spark, hard):  # noqa: F811
     assert kept.columns == hard.columns and kept.count() == hard.count()
 
 
-def test_without_anything_to_learn_nothing_is_added(spark, empty):  # noqa: F811
+def test_an_empty_table_learns_from_the_hand_labelled_one(spark, empty):  # noqa: F811
     field = personal.train_field(empty, "doc_id", "text")
     assert personal.find(empty, "doc_id", "text", field).count() == 0
-    text = "call 555-1234 or 4637089055456426"
-    assert personal.added_spans([text], [personal.base_spans(text)], field) == [[]]
+    text = 'token = "b1946ac92492d2347c6235b4d2611184aa01bc33" here'
+    assert personal.added_spans([text], [[]], field) == [[("secret", 9, 49)]]
+
+
+#: None of these lines is in the table that the field learns from.
+PLANTED = """
+please write to [[email|anna (at) wood (dot) com]] soon
+his mail is [[email|peter [at] field [dot] org]] now
+reach [[email|nina dot berg at north dot net]] later
+or ask [[email|team @ hill.example.org]] about it
+call [[phone|(415) 555-0173]] tomorrow
+phone [[phone|312-555-0188]] at night
+tel. [[phone|040 3344 5519]] in hamburg
+ring [[phone|001-212-555-0156]] again
+blocked [[ip|198[.]51[.]100[.]23]] at the border
+host [[ip|2001:db8:77:5::1a2b:9:44]] answered
+visa [[card|4012.8888.8888.1881]] was used
+card [[card|4222_2222_2222_2220]] on file
+token = [[secret|"b1946ac92492d2347c6235b4d2611184aa01bc33"]] in it
+password: [[secret|q7Lm92xVbT04kzPa]] was lost
+api_key = [[secret|"Zx81kQw93LmTr5Yp07Vb"]] expired
+commit e83c5163316f89bfbde7d9ab23ca2e25604af290 started it
+md5 0cc175b9c0f1b6a831c399e269772661 of a
+version 3.11.4 and 2.7.18 of it
+isbn 978-0-13-110362-7 on a desk
+on 2019-04-17 at 08:30 it began
+order 4785380592391130 was sent
+some 5 300 000 people in 2020
+a blue dot at the end of the line
+pages 311-455 and 10-12
+the total of 12,345.67 was paid
+follow @tom_b at the fair
+""".strip().splitlines()
+
+
+def test_what_only_the_field_finds(spark):
+    """Of 15 planted spans that no pattern finds at least 10; nothing else is added."""
+    assert not set(PLANTED) & set(labelled.LINES)
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    field = personal.train_field(documents, "doc_id", "text")
+    found = planted = 0
+    for line in PLANTED:
+        text, spans = labelled.parsed(line)
+        assert personal.base_spans(text) == []
+        added = personal.added_spans([text], [[]], field)[0]
+        for kind, a, b in added:
+            assert any(kind == k and a < end and begin < b for k, begin, end in spans), line
+        found, planted = found + len(added), planted + len(spans)
+    assert planted == 15 and found >= 10
+
+
+def test_long_tokens_are_read_whole():
+    text = "x" * 500 + "5" * 300 + "y@" * 400
+    chain = personal.chains(text)[0]
+    assert "".join(text[a:b] for a, b in chain) == text
+    assert max(b - a for a, b in chain) == personal.PIECE
+    rows = personal.token_features(text, chain)
+    changed = text[:560] + "@" + text[561:]
+    assert personal.token_features(changed, personal.chains(changed)[0]) != rows
 
 
 def test_redaction():
