@@ -31,6 +31,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in whatever case."""
+    known = {c.lower() for c in frame.columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def map_texts(
     frame: DataFrame,
     text: str,

@@ -9,9 +9,11 @@ word numbers lead back to offsets in the original text.
 Nulls and empty texts have no words: nothing is hit. An item without an id (null) hits words
 but is not listed. Repeated items count once; repeated documents give repeated rows.
 
-The automaton is broadcast while the item texts hold at most ``most_bytes``; a larger benchmark
-is split into as many automata as that takes. Each scans all distinct texts in a pass of its
-own, and the hits of a text are joined by its content key.
+The items are broadcast, and each Python worker builds the automaton once. An item of B bytes makes
+at most (B + 2) nodes a word of a window; a benchmark of more than ``most_nodes`` is split, by hashes
+of the items, into as many automata as that takes. Each scans all distinct texts in a pass of its
+own, and the hits of a text are joined by its content key. One item that alone has more nodes is
+not split.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import content_key, map_texts, quoted, settled
+from lagline.llm.common import content_key, map_texts, quoted, settled, unused
 
-#: Upper bound of the item texts behind one broadcast automaton.
-MOST_ITEM_BYTES = 16 << 20
+#: Most nodes of one automaton. Measured: 54 bytes and 1.1 us a node.
+MOST_NODES = 10_000_000
 
 #: Words of the original text, capitals included.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -112,22 +114,38 @@ def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     return " ".join(x for x in kept if x)
 
 
-def _parts(items: DataFrame, most_bytes: int) -> list[DataFrame]:
-    """The items in parts of about ``most_bytes`` of text, split by a hash of the text."""
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    count = max(1, math.ceil(total / most_bytes))
+def _parts(items: DataFrame, size: int, most_nodes: int) -> list[DataFrame]:
+    """The distinct items in parts of about ``most_nodes`` nodes, split by a hash of the text."""
+    items = items.distinct()
+    texts = F.sum(F.octet_length("text").cast("bigint") + 2)
+    total = size * items.agg(F.coalesce(texts, F.lit(0))).first()[0]
+    count = max(1, math.ceil(total / most_nodes))
     if count == 1:
         return [items]
     return [items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k) for k in range(count)]
 
 
+def _shared(items: DataFrame, size: int) -> Callable[[], ahocorasick.Automaton]:
+    """The automaton of the items, for use in tasks. A worker process keeps what it has built
+    beside the broadcast items, so its later tasks find it there."""
+    rows = [(r[0], r[1]) for r in items.toLocalIterator()]
+    shared = items.sparkSession.sparkContext.broadcast({"items": rows})
+
+    def automaton() -> ahocorasick.Automaton:
+        own = shared.value
+        if "automaton" not in own:
+            own["automaton"] = build(own["items"], size)
+        return own["automaton"]
+
+    return automaton
+
+
 def _scan(frame: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """``frame`` with its text replaced by n_words, flat hit ranges and item ids."""
-    rows = [(r[0], r[1]) for r in items.distinct().toLocalIterator()]
-    shared = frame.sparkSession.sparkContext.broadcast(rows)
+    shared = _shared(items, size)
 
     def start() -> Callable[[list], list]:
-        automaton = build(shared.value, size)
+        automaton = shared()
 
         def work(texts: list) -> list:
             counts, hits, found = [], [], []
@@ -168,7 +186,7 @@ def scan(
     item_id: str,
     item_text: str,
     window: int = 10,
-    most_bytes: int = MOST_ITEM_BYTES,
+    most_nodes: int = MOST_NODES,
 ) -> DataFrame:
     """Per document: doc_id, n_words, hits (flat ranges of word numbers), items (ids)."""
     rows = documents.select(
@@ -178,7 +196,7 @@ def scan(
         F.col(quoted(item_id)).cast("bigint").alias("item_id"),
         F.col(quoted(item_text)).alias("text"),
     )
-    parts = _parts(bench, most_bytes)
+    parts = _parts(bench, window, most_nodes)
     if len(parts) == 1:
         return _scan(rows, parts[0], window)
     keyed = rows.withColumn("key", content_key(F.col("text")))
@@ -190,21 +208,21 @@ def scan(
 def _scan_in_parts(keyed: DataFrame, parts: list[DataFrame], window: int) -> DataFrame:
     """Per distinct text of ``keyed`` (key, text): key, n_words and the hits and items of all
     parts in the text as it is."""
-    distinct = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    distinct = settled(keyed.groupBy("key").agg(F.first("text").alias("text")))
     found = None
     for part in parts:
         made = _scan(distinct, part, window)
         found = made if found is None else found.unionByName(made)
 
-    merge = F.udf(
-        lambda hits: [x for pair in _merged(hits) for x in pair], "array<int>", useArrow=True
-    )
+    def start() -> Callable[[list], list]:
+        return lambda texts: [[[x for pair in _merged(hits) for x in pair] for hits in texts]]
+
     by_text = found.groupBy("key").agg(
         F.max("n_words").alias("n_words"),
         F.collect_list("hits").alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return by_text.withColumn("hits", merge("hits"))
+    return map_texts(by_text, "hits", [("hits", "array<int>", pa.list_(pa.int32()))], start)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -228,7 +246,7 @@ def report(found: DataFrame) -> DataFrame:
 
 def clean(
     documents: DataFrame, text: str, items: DataFrame, item_id: str, item_text: str,
-    window: int = 10, most_bytes: int = MOST_ITEM_BYTES,
+    window: int = 10, most_nodes: int = MOST_NODES,
 ) -> DataFrame:
     """The documents with every passage of an item cut out of the text; no row goes.
 
@@ -239,32 +257,35 @@ def clean(
         F.col(quoted(item_id)).cast("bigint").alias("item_id"),
         F.col(quoted(item_text)).alias("text"),
     )
-    parts = _parts(bench, most_bytes)
+    parts = _parts(bench, window, most_nodes)
     if len(parts) == 1:
         return _cut(documents, text, parts[0], window)
     content = F.col(quoted(text))
     keyed = documents.select(content_key(content).alias("key"), content.alias("text"))
     by_text = _scan_in_parts(keyed, parts, window).where(F.size("hits") > 0)
-    by_text = by_text.select(F.col("key").alias("__key"), F.col("hits").alias("__hits"))
+    key, hits = unused(documents, "key"), unused(documents, "hits")
+    by_text = by_text.select(F.col("key").alias(key), F.col("hits").alias(hits))
+
+    def start() -> Callable[[list], list]:
+        def without(value: str | None, own: list[int] | None) -> str | None:
+            if not own:
+                return value
+            return cut_out(value, character_spans(value, list(zip(own[::2], own[1::2], strict=True))))
 
-    def without(value: str | None, hits: list[int] | None) -> str | None:
-        if hits is None or not len(hits):
-            return value
-        ranges = list(zip(hits[::2], hits[1::2], strict=True))
-        return cut_out(value, character_spans(value, ranges))
+        return lambda rows: [[without(r["text"], r["hits"]) for r in rows]]
 
-    cut = F.udf(without, "string", useArrow=True)
-    joined = documents.withColumn("__key", content_key(content)).join(by_text, "__key", "left")
-    made = joined.withColumn(text, cut(content, F.col("__hits")))
+    joined = documents.withColumn(key, content_key(content)).join(by_text, key, "left")
+    both = F.struct(content.alias("text"), F.col(hits).alias("hits"))
+    joined = joined.withColumn(text, both).drop(key, hits)
+    made = map_texts(joined, text, [(text, "string", pa.string())], start)
     return made.select(*[quoted(c) for c in documents.columns])
 
 
 def _cut(frame: DataFrame, text: str, items: DataFrame, size: int) -> DataFrame:
-    rows = [(r[0], r[1]) for r in items.distinct().toLocalIterator()]
-    shared = frame.sparkSession.sparkContext.broadcast(rows)
+    shared = _shared(items, size)
 
     def start() -> Callable[[list], list]:
-        automaton = build(shared.value, size)
+        automaton = shared()
 
         def work(texts: list) -> list:
             out = []

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -63,14 +64,14 @@ def as_rows(frame):
     return sorted((str(r[0]), *r[1:]) for r in frame.collect())
 
 
-@pytest.mark.parametrize("most", [decontamination.MOST_ITEM_BYTES, 60])
+@pytest.mark.parametrize("most", [decontamination.MOST_NODES, 600])
 def test_hard_texts(spark, hard, most):  # noqa: F811
     documents, frame, items = tables(spark, hard)
     found = decontamination.scan(frame, "doc_id", "text", items, "item_id", "text", 10, most)
     assert as_rows(decontamination.report(found)) == slow(documents, ITEMS)
 
 
-@pytest.mark.parametrize("most", [decontamination.MOST_ITEM_BYTES, 60])
+@pytest.mark.parametrize("most", [decontamination.MOST_NODES, 600])
 def test_clean_removes_all_hits_and_nothing_else(spark, hard, most):  # noqa: F811
     documents, frame, items = tables(spark, hard)
     left = decontamination.clean(frame, "text", items, "item_id", "text", 10, most).collect()
@@ -100,7 +101,7 @@ def test_query(spark):
     assert any(r[-1] for r in found)
 
 
-@pytest.mark.parametrize("most", [decontamination.MOST_ITEM_BYTES, 30])
+@pytest.mark.parametrize("most", [decontamination.MOST_NODES, 300])
 def test_overlapping_items_in_several_parts(spark, most):
     """A stem with many answers, and items whose windows only meet in the cut text."""
     stem = " ".join(f"stem{i}" for i in range(12))
@@ -108,12 +109,24 @@ def test_overlapping_items_in_several_parts(spark, most):
     items += [(20, "left right"), (21, "cut me")]
     documents = [(i, f"Begin, {stem} answer{i} last{i}; end") for i in range(8)]
     documents += [(30, "left cut me right"), (31, None), (32, "Nothing, here."), (33, "")]
-    schema = "item_id long, text string, key string, hits string"
+    schema = "item_id long, text string, `Key` string, hits string, `key_` int, __key int"
     bench = spark.createDataFrame(items, "item_id long, text string")
-    frame = spark.createDataFrame([(i, t, "k", "h") for i, t in documents], schema)
+    frame = spark.createDataFrame([(i, t, "k", "h", 1, 2) for i, t in documents], schema)
     left = decontamination.clean(frame, "text", bench, "item_id", "text", 10, most)
     assert left.columns == frame.columns
-    wanted = [(i, "Begin, ; end", "k", "h") for i in range(8)]
-    wanted += [(30, "left right", "k", "h"), (31, None, "k", "h")]
-    wanted += [(32, "Nothing, here.", "k", "h"), (33, "", "k", "h")]
+    wanted = [(i, "Begin, ; end", "k", "h", 1, 2) for i in range(8)]
+    wanted += [(30, "left right", "k", "h", 1, 2), (31, None, "k", "h", 1, 2)]
+    wanted += [(32, "Nothing, here.", "k", "h", 1, 2), (33, "", "k", "h", 1, 2)]
     assert sorted(map(tuple, left.collect())) == wanted
+
+
+def test_the_limit_counts_no_fewer_nodes_than_there_are(spark):
+    draw = random.Random(5)
+    items = [(i, " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))) for i, n in
+             enumerate([1, 3, 9, 10, 11, 60, 400])]
+    built = decontamination.build(items, 10)
+    assert built.get_stats()["nodes_count"] <= 10 * sum(len(t) + 2 for _, t in items) + 1
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontamination._parts(bench, 10, 1 << 30)) == 1
+    parts = decontamination._parts(bench, 10, 10_000)
+    assert len(parts) > 1 and sum(p.count() for p in parts) == len(items)
