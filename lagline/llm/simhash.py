@@ -32,7 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import SLICE_ROWS, content_key, map_batches, map_texts, quoted, settled
+from lagline.llm.common import (
+    SLICE_ROWS,
+    content_key,
+    map_batches,
+    map_texts,
+    quoted,
+    settled,
+    unused,
+)
 from lagline.llm.components import components
 
 BITS = 64
@@ -555,15 +563,16 @@ def one_of_each(
     rooted = rooted.select("key", "least", F.coalesce("root", "key").alias("root"))
     # The first text of each group, by id and then by content.
     kept = rooted.groupBy("root").agg(F.min(F.struct("least", "key")).alias("kept"))
-    kept = kept.select(F.col("kept.key").alias("__key"), F.col("kept.least").alias("__least"))
-    again = survey.groupBy("key", "at").agg(F.count("*").alias("__n")).where("__n > 1")
-    again = again.select(F.col("key").alias("__key"), F.col("at").alias("__least"), "__n")
-    kept = settled(kept.join(again, ["__key", "__least"], "left"))
+    key, least, n = (unused(documents, name) for name in ("key", "least", "n"))
+    kept = kept.select(F.col("kept.key").alias(key), F.col("kept.least").alias(least))
+    again = survey.groupBy("key", "at").agg(F.count("*").alias(n)).where(F.col(n) > 1)
+    again = again.select(F.col("key").alias(key), F.col("at").alias(least), n)
+    kept = settled(kept.join(again, [key, least], "left"))
     columns = [quoted(c) for c in documents.columns]
     named = documents.withColumns(
-        {"__key": content_key(content), "__least": F.coalesce(ids, F.lit((1 << 63) - 1))}
+        {key: content_key(content), least: F.coalesce(ids, F.lit((1 << 63) - 1))}
     )
-    found = named.join(kept, ["__key", "__least"])
-    once = found.where("__n is null").select(*columns)
-    repeated = found.where("__n is not null").dropDuplicates(["__key", "__least"])
+    found = named.join(kept, [key, least])
+    once = found.where(F.col(n).isNull()).select(*columns)
+    repeated = found.where(F.col(n).isNotNull()).dropDuplicates([key, least])
     return once.union(repeated.select(*columns))

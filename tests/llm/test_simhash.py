@@ -138,6 +138,14 @@ def test_repeated_rows_leave_one(spark):
     ]
 
 
+def test_columns_named_like_helpers_stay(spark):
+    rows = [(1, "a b c d", 5, 6, 7, 8), (2, "a b c d", 6, 7, 8, 9), (2, "a b c d", 6, 7, 8, 9)]
+    schema = "doc_id long, text string, __key int, __n int, KEY int, least int"
+    frame = spark.createDataFrame(rows, schema)
+    kept = simhash.one_of_each(frame, "doc_id", "text", 5, 0.8)
+    assert kept.columns == frame.columns and list(map(tuple, kept.collect())) == rows[:1]
+
+
 def test_no_documents(empty):
     assert simhash.one_of_each(empty, "doc_id", "text").collect() == []
 
