@@ -128,20 +128,9 @@ URL_RULES = [
 ]
 
 
-def _rounds() -> str:
-    """The rounds of both ranks, one table after the other."""
-    tables = []
-    for number in range(links.ROUNDS):
-        tables.append(f"""r{number + 1} AS (
-    SELECT kind, host, sum(rank) AS rank FROM (
-      SELECT kind, host, rank * {1 - links.DAMPING} AS rank FROM r0 UNION ALL
-      SELECT kind, target, rank * share * {links.DAMPING}
-      FROM shares JOIN r{number} USING (kind, host)) GROUP BY 1, 2)""")
-    return ",\n  ".join(tables)
-
-
+#: Ranks as sums over all walks from the seeds, by length; 0.85^150 is below 1e-10.
 URL_SQL = rf"""
-  WITH cut AS (
+  WITH RECURSIVE cut AS (
     SELECT page_id, html, CASE WHEN contains(url, '://')
              THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
   split AS (
@@ -168,20 +157,31 @@ URL_SQL = rf"""
   shares AS (
     SELECT kind, host, target, links / sum(links) OVER (PARTITION BY kind, host) AS share
     FROM edges),
-  seeds AS (
-    SELECT host, count(*) FILTER (verdict = 'allow') * 2 > count(*) AS trusted,
-           count(*) FILTER (verdict = 'block') * 2 > count(*) AS bad
+  hosts AS (
+    SELECT host, avg((verdict IS NOT DISTINCT FROM 'allow')::INT) AS allowed,
+           avg((verdict IS NOT DISTINCT FROM 'block')::INT) AS blocked
     FROM ruled WHERE host <> '' GROUP BY 1),
-  r0 AS (
-    SELECT 'trust' AS kind, host, 1.0 / count(*) OVER () AS rank FROM seeds WHERE trusted
-    UNION ALL SELECT 'distrust', host, 1.0 / count(*) OVER () FROM seeds WHERE bad),
-  {_rounds()},
+  seeds AS (
+    SELECT 'trust' AS kind, host, allowed / sum(allowed) OVER () AS mass, allowed > 0.5 AS most
+    FROM hosts WHERE allowed > 0 UNION ALL
+    SELECT 'distrust', host, blocked / sum(blocked) OVER (), blocked > 0.5
+    FROM hosts WHERE blocked > 0),
+  walks AS (
+    SELECT 0 AS steps, kind, host, mass FROM seeds UNION ALL
+    SELECT steps + 1, kind, target, sum(mass * share * 0.85)
+    FROM walks JOIN shares USING (kind, host) WHERE steps < 150 GROUP BY 1, 2, 3),
+  whole AS (SELECT kind, sum(mass) AS whole FROM walks GROUP BY 1),
+  counting AS (
+    SELECT kind, host, w.mass / whole AS mass
+    FROM walks AS w JOIN whole USING (kind) LEFT JOIN seeds AS s USING (kind, host)
+    WHERE steps > 0 OR most),
   ranks AS (
-    SELECT host, coalesce(max(rank) FILTER (kind = 'distrust'), 0)
-             - coalesce(max(rank) FILTER (kind = 'trust'), 0) AS excess
-    FROM r{links.ROUNDS} GROUP BY 1)
+    SELECT host, coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS distrust,
+           coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS trust
+    FROM counting GROUP BY 1)
   SELECT page_id, host, path, rule,
-         coalesce(verdict, CASE WHEN excess > {links.THRESHOLD} THEN 'block' END, 'allow') AS verdict
+         coalesce(verdict, CASE WHEN distrust - trust > 1e-9 * (distrust + trust) THEN 'block' END,
+                  'allow') AS verdict
   FROM ruled LEFT JOIN ranks USING (host)"""
 
 
