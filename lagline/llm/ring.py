@@ -7,11 +7,13 @@ clockwise; a key whose shard is full goes on to the next shard clockwise with ro
 
 Only counts per place are needed to say which ranks of an arc go to which shard, so this plan is
 a table of at most arcs times shards rows, whatever the input; it is made by one aggregate
-expression over the arcs. Rows find their rank by counts before their place and their order
+expression over the arcs. Keys find their ranks by counts before their place and their order
 within it. A text is read once and never moved. Slots are gapless per shard.
 
 Null texts have size 1 and the checksum of an empty text. Null and repeated ids are keys like
-others; rows equal in id and text are interchangeable.
+others. Rows equal in id, size and checksum are interchangeable: they are counted before the
+shuffle, the counts are placed, and a count is turned into rows again in pieces of ``PIECE``, so
+no task holds all rows of a key.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from lagline.llm.common import quoted, settled
 CELL_BITS = 16
 CELLS = 1 << CELL_BITS
 NODES = 64
+#: Rows that one piece of a repeated key is turned into.
+PIECE = 4096
 
 
 def arcs(spark: SparkSession, shards: int, nodes: int = NODES) -> DataFrame:
@@ -101,10 +105,12 @@ def assign(documents: DataFrame, id_column: str, text: str, shards: int) -> Data
     )
     rows = rows.withColumn("at", F.xxhash64("doc_id", "size", "text_crc32"))
     rows = rows.withColumn("place", F.shiftrightunsigned("at", 64 - CELL_BITS).cast("int"))
-    rows = settled(rows)
+    # One row per key, with the number of equal rows.
+    keys = rows.groupBy("place", "at", "doc_id", "size", "text_crc32")
+    keys = settled(keys.agg(F.count("*").alias("rows")))
 
     ring = settled(arcs(documents.sparkSession, shards))
-    counts = rows.groupBy("place").agg(F.count("*").alias("rows"))
+    counts = keys.groupBy("place").agg(F.sum("rows").alias("rows"))
     counts = counts.join(places(ring), "place")
     before = Window.partitionBy("arc").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
@@ -115,16 +121,25 @@ def assign(documents: DataFrame, id_column: str, text: str, shards: int) -> Data
     starts = F.broadcast(counts.select("place", "arc", "before"))
 
     order = Window.partitionBy("place").orderBy("at", "doc_id", "size", "text_crc32")
-    ranked = rows.withColumn("own", F.row_number().over(order)).join(starts, "place")
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("own") - 1)
-    found = ranked.join(chosen, "arc")
-    found = found.where("rank >= low and rank < low + taken")
-    return found.select(
+    order = order.rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("rows").over(order), F.lit(0))
+    ranked = keys.withColumn("ahead", ahead).join(starts, "place")
+    # A key's ranks are first up to, not including, last.
+    ranked = ranked.withColumn("first", F.col("before") + F.col("ahead"))
+    ranked = ranked.withColumn("last", F.col("first") + F.col("rows")).drop("rows")
+    found = ranked.join(chosen, "arc").where("first < low + taken and last > low")
+    found = found.withColumn("first", F.greatest("first", "low"))
+    found = found.withColumn("last", F.least("last", F.expr("low + taken")))
+    pieces = F.expr(f"explode(sequence(first, last - 1, {PIECE}L))")
+    found = found.withColumn("piece", pieces)
+    found = found.repartition("at", "piece")
+    ranks = F.expr(f"explode(sequence(piece, least(piece + {PIECE}L, last) - 1))")
+    return found.withColumn("rank", ranks).select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
-        (chosen["slot"] + F.col("rank") - F.col("low")).alias("slot"),
+        (F.col("slot") + F.col("rank") - F.col("low")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -34,6 +34,28 @@ def test_rows_that_are_all_alike(spark):
     check_laws(ring.assign(frame, "doc_id", "text", 4).collect(), rows, 4)
 
 
+def test_repeated_keys_in_several_pieces(spark):
+    """One key of three pieces that spans several shards, among others."""
+    rows = [(7, "hot")] * (2 * ring.PIECE + 5) + [(i, f"t{i}") for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ring.assign(frame, "doc_id", "text", 5).collect()
+    check_laws(found, rows, 5)
+    assert len({r.shard for r in found if r.doc_id == 7}) > 1
+
+
+def test_few_rows_move_when_a_shard_joins_or_leaves(spark):
+    """Full shards leave no slack, so keys pushed on move too, besides the 1,176 rows that a new
+    shard must get and the 1,250 that a leaving one must hand over."""
+    ids = spark.range(20_000).selectExpr("id as doc_id", "'t' || id as text")
+    at = {}
+    for shards in (15, 16, 17):
+        found = ring.assign(ids, "doc_id", "text", shards).collect()
+        at[shards] = {r.doc_id: r.shard for r in found}
+    for other in (15, 17):
+        moved = sum(at[16][i] != at[other][i] for i in at[16])
+        assert 20_000 // 17 <= moved < 2_500
+
+
 def test_empty_table(empty):  # noqa: F811
     assert ring.assign(empty, "doc_id", "text", 4).collect() == []
 
