@@ -35,6 +35,7 @@ from lagline.sources.columns import series_key
 # Forest size, holdout share, sequence length and seasonal components.
 TREES = 300
 DEPTH = 12
+BINS = 32
 SEED = 42
 HOLDOUT = 0.2
 SEQ_LEN = 30
@@ -63,11 +64,13 @@ def train_forest(
     seed: int = SEED,
     share: float = HOLDOUT,
     bootstrap: bool = True,
+    bins: int = BINS,
 ) -> Trained:
     """Forest regressor on a feature table, split by time.
 
     The split runs over the whole table unless ``split_key`` asks for one per series.
-    ``bootstrap`` draws the rows of each tree anew; otherwise every tree sees all.
+    ``bootstrap`` draws the rows of each tree anew; otherwise every tree sees all. A feature of
+    up to ``bins`` values is split between any two of them, in up to ``bins`` squared rows.
     """
     rows = present(table.frame, [*table.features, "target"])
     kept = dict.fromkeys([*key, "datetime", "value", *table.features, "target"])
@@ -81,6 +84,7 @@ def train_forest(
         predictionCol="forecast",
         numTrees=trees,
         maxDepth=depth,
+        maxBins=bins,
         seed=seed,
         featureSubsetStrategy="all",
         bootstrap=bootstrap,
