@@ -142,3 +142,35 @@ def test_cells_keep_partners_together():
                 if set_join.alike(common, len(sets[i]), len(sets[j]), 80):
                     linked = (near[i] & near[j]).any()
                     assert linked or any(i in c and j in c for c in found)
+
+
+def test_fewer_links_than_members(spark):
+    """A dense family hands on as many links as join it, not those of each pivot and cell."""
+    draw = np.random.default_rng(8)
+    base, rows = np.arange(60), []
+    for i in range(600):
+        own = base.copy()
+        edits = draw.integers(1, 5)
+        own[draw.choice(60, edits, replace=False)] = 1000 * (i + 1) + np.arange(edits)
+        rows.append((bytes([i // 256, i % 256]), np.unique(own).tolist()))
+    sets = spark.createDataFrame(rows, "key binary, hashes array<bigint>")
+    members = sets.selectExpr("1L as region", "0 as tile", "key")
+    links = set_join.join_regions(members, sets, 80).collect()
+
+    def parts(pairs):
+        group = {key: frozenset([key]) for key, _ in rows}
+        for a, b in pairs:
+            if group[a] is not group[b]:
+                both = group[a] | group[b]
+                group |= dict.fromkeys(both, both)
+        return set(group.values())
+
+    known = [(key, set(h)) for key, h in rows]
+    exact = parts(
+        (a, b)
+        for i, (a, one) in enumerate(known)
+        for b, other in known[:i]
+        if 100 * len(one & other) >= 80 * len(one | other)
+    )
+    assert parts((bytes(a), bytes(b)) for a, b in links) == exact
+    assert len(links) == len(rows) - len(exact)
