@@ -174,3 +174,90 @@ def test_fewer_links_than_members(spark):
     )
     assert parts((bytes(a), bytes(b)) for a, b in links) == exact
     assert len(links) == len(rows) - len(exact)
+
+
+def family(seed, count, size=100):
+    """Sets that each lack some of the same members and have as many of their own."""
+    draw, rows = np.random.default_rng(seed), []
+    for i in range(count):
+        own = np.arange(size)
+        edits = draw.integers(5, 30)
+        own[draw.choice(size, edits, replace=False)] = 1000 * (i + 1) + np.arange(edits)
+        rows.append(np.unique(own))
+    return rows
+
+
+def one_by_one(sets):
+    """The groups that all alike pairs join."""
+    group = [frozenset([i]) for i in range(len(sets))]
+    for i, one in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(one, sets[j], assume_unique=True))
+            if group[i] is not group[j] and set_join.alike(common, len(one), len(sets[j]), 80):
+                whole = group[i] | group[j]
+                for k in whole:
+                    group[k] = whole
+    return set(group)
+
+
+def grouped(links, count):
+    group = {i: frozenset([i]) for i in range(count)}
+    for a, b in links:
+        whole = group[a] | group[b]
+        group |= dict.fromkeys(whole, whole)
+    return set(group.values())
+
+
+def test_common_members_are_counted_exactly():
+    draw = np.random.default_rng(6)
+    for count, most in [(2, 9), (40, 50), (90, 4000), (90, 80)]:
+        sets = [np.unique(draw.integers(0, most, draw.integers(1, 60))) for _ in range(count)]
+        found = set_join.in_common(sets)
+        for i, one in enumerate(sets):
+            for j in range(i):
+                assert found[i, j] == found[j, i] == len(np.intersect1d(one, sets[j]))
+
+
+def test_blocks_of_few_columns(monkeypatch):
+    sets = family(2, 60)
+    whole = set_join.in_common(sets)
+    monkeypatch.setattr(set_join, "BLOCK", 180)
+    assert (set_join.in_common(sets) == whole).all()
+
+
+def test_a_task_compares_a_family_once(monkeypatch):
+    """All edits of one text are in the cell of every pivot."""
+    compared, leaf = [], set_join.leaf
+
+    def counted(at, *rest):
+        compared.append(len(at) ** 2)
+        return leaf(at, *rest)
+
+    monkeypatch.setattr(set_join, "leaf", counted)
+    sets = family(3, 200)
+    own, marked = set_join.dense(sets)
+    links = set_join.joined(np.arange(len(own)), own, marked, 80)
+    exact = one_by_one(sets)
+    assert grouped(links, len(sets)) == exact and 1 < len(exact) < 200
+    assert sum(compared) <= 200**2
+
+
+def test_a_large_family_is_dealt_out_once(spark, monkeypatch):
+    """Not once for each pivot whose cell holds it."""
+    monkeypatch.setattr(set_join, "MOST_ROWS", 50)
+    dealt, join_regions = [], set_join.join_regions
+
+    def counted(members, *rest):
+        dealt.append(members.count())
+        return join_regions(members, *rest)
+
+    monkeypatch.setattr(set_join, "join_regions", counted)
+    found = family(4, 200)
+    rows = [(bytes([i]), s.tolist(), len(s)) for i, s in enumerate(found)]
+    sets = spark.createDataFrame(rows, "key binary, hashes array<bigint>, n long")
+    members = sets.selectExpr("7L as region", "key", "n")
+    links = set_join.links_of(members, sets, 80).collect()
+    exact = one_by_one(found)
+    assert grouped([(a[0], b[0]) for a, b in links], len(found)) == exact and 1 < len(exact) < 200
+    # 4 tasks' worth: 8 halves, and each of the 200 in a tile with each half.
+    assert dealt == [200 * 8]
